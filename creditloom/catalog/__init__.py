@@ -1,4 +1,4 @@
 """Runnable queries over the given tables, each with a DuckDB text where SQL can express it."""
 
-from creditloom.catalog import name_queries  # noqa: F401
+from creditloom.catalog import feature_queries, name_queries  # noqa: F401
 from creditloom.catalog.registry import ORACLES, QUERIES  # noqa: F401
