@@ -1,4 +1,11 @@
 """Runnable queries over the given tables, each with a DuckDB text where SQL can express it."""
 
-from creditloom.catalog import feature_queries, name_queries, profile_queries  # noqa: F401
+from creditloom.catalog import (  # noqa: F401
+    feature_queries,
+    model_queries,
+    name_queries,
+    profile_queries,
+    score_queries,
+    stream_queries,
+)
 from creditloom.catalog.registry import ORACLES, QUERIES  # noqa: F401
