@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,10 +48,15 @@ def _needed(names, seen):
     return seen
 
 
+def _once(name: str, sql: str) -> str:
+    """Common tables are evaluated once, except recursive ones."""
+    return "" if re.search(rf"\b{name}\b", sql) else "MATERIALIZED "
+
+
 def oracle(body: str, keys: str = "", doubles: str = "", uses: str = "", extra=()) -> str:
     """DuckDB text: the needed common tables, then ``body``, then rounded output columns."""
-    parts = [f"{n} AS (\n{CTES[n][0]}\n)" for n in _needed(uses.split(), [])]
-    parts += [f"{n} AS (\n{sql}\n)" for n, sql in extra]
+    tables = [(n, CTES[n][0]) for n in _needed(uses.split(), [])] + list(extra)
+    parts = [f"{n} AS {_once(n, sql)}(\n{sql}\n)" for n, sql in tables]
     parts.append(f"result AS (\n{body}\n)")
     columns = [k for k in keys.split()]
     columns += [f"round(CAST({d} AS DOUBLE) + {OFF_TIE}, {DIGITS}) + 0.0 AS {d}" for d in doubles.split()]
