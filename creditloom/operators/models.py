@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from creditloom.operators import prep
 from creditloom.operators.metrics import metric_suite
+from creditloom.session import cut_lineage
 
 SEED = 42
 VECTOR = "features_vector"
@@ -106,11 +107,12 @@ def cross_validate(
     numbers = [r["fold"] for r in folds.select("fold").distinct().orderBy("fold").collect()]
     result = None
     for number in numbers:
-        rows = data.join(folds.where(F.col("fold") == number).select(key, "role"), key)
+        rows = cut_lineage(data.join(folds.where(F.col("fold") == number).select(key, "role"), key))
         train, test = rows.where("role = 'train'"), rows.where("role = 'test'")
         if train.select(label).distinct().count() < 2:
             continue
-        model = fit(train, model_type, [f for f in features if f in prep.available_features(train)], label, n_trees=n_trees)
+        usable = set(prep.available_features(train))
+        model = fit(train, model_type, [f for f in features if f in usable], label, n_trees=n_trees)
         for role, part in (("train", train), ("test", test)):
             row = evaluate(model, part, label).select(
                 F.lit(number).alias("fold"), F.lit(role).alias("role"), "auc_roc", "ks_statistic", "brier_score"
