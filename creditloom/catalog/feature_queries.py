@@ -127,22 +127,13 @@ query(
 )(lambda spark, sf: txn.monthly_rollup(_transactions(spark, sf), AS_OF))
 
 
-def _months(spark, sf):
-    return txn.month_features(_daily(spark, sf))
-
-
-def _days(spark, sf):
-    return txn.day_features(_daily(spark, sf))
-
-
-def _runway(spark, sf):
-    daily = _daily(spark, sf)
-    return txn.runway(txn.day_features(daily), txn.month_features(daily))
+def _calendar(spark, sf):
+    return txn.calendar_features(_daily(spark, sf))
 
 
 def _amounts(spark, sf):
     rows = _transactions(spark, sf)
-    joined = _days(spark, sf).join(txn.median_amount(rows, AS_OF), txn.KEYS)
+    joined = _calendar(spark, sf).join(txn.median_amount(rows, AS_OF), txn.KEYS)
     return joined.withColumn("median_txn_amount", txn.guarded(F.col("median_all"), F.col("n_transactions")))
 
 
@@ -150,16 +141,16 @@ def _payee_features(spark, sf):
     return txn.payee_features(_payees(spark, sf))
 
 
-_feature_query("tf_cv_monthly_net", ["cv_monthly_net"], _months)
-_feature_query("tf_net_operating_ratio", ["net_operating_ratio"], _months)
-_feature_query("tf_txn_frequency_trend", ["txn_frequency_trend"], _months)
-_feature_query("tf_totals", ["total_inflow", "total_outflow"], _months)
-_feature_query("tf_max_zero_day_streak_90d", ["max_zero_day_streak_90d"], _days)
-_feature_query("tf_velocity_90_180", ["velocity_90_180"], _days)
-_feature_query("tf_txn_counts", ["txn_count_90d", "txn_count_180d"], _days)
-_feature_query("tf_active_days_ratio", ["active_days_ratio"], _days)
+_feature_query("tf_cv_monthly_net", ["cv_monthly_net"], _calendar)
+_feature_query("tf_net_operating_ratio", ["net_operating_ratio"], _calendar)
+_feature_query("tf_txn_frequency_trend", ["txn_frequency_trend"], _calendar)
+_feature_query("tf_totals", ["total_inflow", "total_outflow"], _calendar)
+_feature_query("tf_max_zero_day_streak_90d", ["max_zero_day_streak_90d"], _calendar)
+_feature_query("tf_velocity_90_180", ["velocity_90_180"], _calendar)
+_feature_query("tf_txn_counts", ["txn_count_90d", "txn_count_180d"], _calendar)
+_feature_query("tf_active_days_ratio", ["active_days_ratio"], _calendar)
 _feature_query("tf_amount_stats", ["mean_txn_amount", "median_txn_amount", "std_txn_amount"], _amounts)
-_feature_query("tf_months_runway", ["months_runway"], _runway)
+_feature_query("tf_months_runway", ["months_runway"], _calendar)
 _feature_query("tf_recurring_revenue_ratio", ["recurring_revenue_ratio"], _payee_features)
 _feature_query("tf_supplier_hhi", ["supplier_hhi"], _payee_features)
 

@@ -103,55 +103,24 @@ def monthly_rollup(transactions: DataFrame, as_of) -> DataFrame:
     )
 
 
-def month_features(daily: DataFrame) -> DataFrame:
-    """Variation of the monthly turnover, activity trend, flow ratio and burn rate."""
-    monthly = monthly_flows(daily)
-    by_month = Window.partitionBy(*KEYS).orderBy("month")
-    monthly = monthly.withColumn("at", F.row_number().over(by_month) - 1)
-    flowing = (F.col("n_in") > 0) | (F.col("n_out") > 0)
-    turnover = F.when(flowing, _double(F.col("inflow") + F.col("outflow")))
-    stats = monthly.groupBy(*KEYS).agg(
-        F.sum("n").alias("n_transactions"),
-        F.count("*").alias("n_months"),
-        F.stddev_samp(turnover).alias("sd"),
-        F.avg(turnover).alias("mean"),
-        F.regr_slope(_double("n"), _double("at")).alias("slope"),
-        F.avg(_double("n")).alias("mean_n"),
-        F.sum("inflow").alias("total_in"),
-        F.sum("outflow").alias("total_out"),
-        F.avg(F.when(F.col("n_out") > 0, _double("outflow"))).alias("burn"),
-    )
-    n = F.col("n_transactions")
-    return stats.select(
-        *KEYS,
-        n,
-        guarded(F.when(F.col("n_months") > 1, _ratio(F.col("sd"), F.abs("mean"))), n).alias("cv_monthly_net"),
-        guarded(_ratio(F.col("total_in"), F.col("total_out")), n).alias("net_operating_ratio"),
-        guarded(F.when(F.col("n_months") >= 3, _ratio(F.col("slope"), F.col("mean_n"))), n).alias("txn_frequency_trend"),
-        guarded(_double("total_in"), n).alias("total_inflow"),
-        guarded(_double("total_out"), n).alias("total_outflow"),
-        F.when(F.col("burn") > 0, F.col("burn")).alias("monthly_burn"),
-    )
-
+def calendar_features(daily: DataFrame) -> DataFrame:
+    """Every feature that follows from the daily rows, and the parts of the runway.
 
-def day_features(daily: DataFrame) -> DataFrame:
-    """Quiet streak, balance peak, velocity, counts and amount moments.
-
-    All windows run over the days of one company in one sort.
+    Day windows, the month rollup and the final aggregate all keep a company together, so
+    one exchange on (company, as-of date) serves the three of them.
     """
     whole = Window.partitionBy(*KEYS)
     by_day = whole.orderBy("transaction_date")
     date, as_of = F.col("transaction_date"), F.col("as_of_date")
     net = F.col("inflow") - F.col("outflow")
+    zero = F.lit(0).cast("decimal(18,2)")
     busy = (date >= F.date_sub(as_of, 89)) & (net != 0)
     last_busy = F.last(F.when(busy, date), ignorenulls=True).over(by_day.rowsBetween(Window.unboundedPreceding, -1))
     days = daily.select(
         *KEYS,
         "transaction_date",
-        "n",
+        "n", "n_in", "n_out", "inflow", "outflow", "mean_size", "var_size",
         net.alias("net"),
-        "mean_size",
-        "var_size",
         F.sum(net).over(by_day.rowsBetween(Window.unboundedPreceding, 0)).alias("balance"),
         F.max(date).over(whole).alias("last_day"),
         (F.sum(F.col("mean_size") * F.col("n")).over(whole) / F.sum("n").over(whole)).alias("mean_all"),
@@ -160,10 +129,8 @@ def day_features(daily: DataFrame) -> DataFrame:
     )
     recent_90 = date >= F.date_sub(as_of, 90)
     recent_180 = date >= F.date_sub(as_of, 180)
-    zero = F.lit(0).cast("decimal(18,2)")
-    spread = F.col("n") * (F.col("var_size") + F.pow(F.col("mean_size") - F.col("mean_all"), 2))
-    stats = days.groupBy(*KEYS).agg(
-        F.sum("n").alias("n_transactions"),
+    months = days.groupBy(*KEYS, F.trunc("transaction_date", "month").alias("month")).agg(
+        *[F.sum(c).alias(c) for c in ("n", "n_in", "n_out", "inflow", "outflow")],
         F.max("gap").alias("gap"),
         F.max("busy_day").alias("last_busy"),
         F.max(F.when(date > F.date_sub("last_day", 90), F.col("balance"))).alias("cash_buffer"),
@@ -172,36 +139,49 @@ def day_features(daily: DataFrame) -> DataFrame:
         F.sum(F.when(recent_90, F.col("n")).otherwise(0)).alias("n_90"),
         F.sum(F.when(recent_180, F.col("n")).otherwise(0)).alias("n_180"),
         F.first("mean_all").alias("mean_all"),
-        F.sum(spread).alias("spread"),
+        F.sum(F.col("n") * (F.col("var_size") + F.pow(F.col("mean_size") - F.col("mean_all"), 2))).alias("spread"),
         F.count("*").alias("active_days"),
-        F.datediff(F.max(date), F.min(date)).alias("span"),
+        F.min(date).alias("first_day"),
+        F.max(date).alias("last_day"),
+    )
+    months = months.withColumn("at", F.row_number().over(whole.orderBy("month")) - 1)
+    flowing = (F.col("n_in") > 0) | (F.col("n_out") > 0)
+    turnover = F.when(flowing, _double(F.col("inflow") + F.col("outflow")))
+    stats = months.groupBy(*KEYS).agg(
+        F.sum("n").alias("n_transactions"),
+        F.count("*").alias("n_months"),
+        F.stddev_samp(turnover).alias("turnover_sd"),
+        F.avg(turnover).alias("turnover_mean"),
+        F.regr_slope(_double("n"), _double("at")).alias("slope"),
+        F.avg(_double("n")).alias("mean_n"),
+        F.sum("inflow").alias("total_in"),
+        F.sum("outflow").alias("total_out"),
+        F.avg(F.when(F.col("n_out") > 0, _double("outflow"))).alias("burn"),
+        *[F.sum(c).alias(c) for c in ("net_90", "net_180", "n_90", "n_180", "spread", "active_days")],
+        *[F.max(c).alias(c) for c in ("gap", "last_busy", "cash_buffer")],
+        F.first("mean_all").alias("mean_all"),
+        F.datediff(F.max("last_day"), F.min("first_day")).alias("span"),
     )
     n = F.col("n_transactions")
     tail_gap = F.datediff(as_of, F.col("last_busy"))
     streak = F.when(F.col("last_busy").isNull(), 90).otherwise(F.greatest("gap", tail_gap))
-    return stats.select(
-        *KEYS,
-        n,
-        guarded(streak, n).alias("max_zero_day_streak_90d"),
-        F.col("cash_buffer"),
-        guarded(_ratio(F.col("net_90"), F.col("net_180") - F.col("net_90")), n).alias("velocity_90_180"),
-        guarded(F.col("n_90"), n).alias("txn_count_90d"),
-        guarded(F.col("n_180"), n).alias("txn_count_180d"),
-        guarded(F.col("mean_all"), n).alias("mean_txn_amount"),
-        guarded(F.sqrt(F.col("spread") / (n - 1)), n).alias("std_txn_amount"),
-        guarded(
-            F.when(F.col("span") > 0, _ratio(F.col("active_days"), F.col("span"))).otherwise(F.lit(1.0)), n
-        ).alias("active_days_ratio"),
-    )
-
-
-def runway(days: DataFrame, months: DataFrame) -> DataFrame:
-    """Peak balance of the last 90 days of activity over the mean monthly outflow."""
-    n = F.col("n_transactions")
-    joined = days.select(*KEYS, "n_transactions", "cash_buffer").join(months.select(*KEYS, "monthly_burn"), KEYS)
-    return joined.select(
-        *KEYS, guarded(_ratio(F.col("cash_buffer"), F.col("monthly_burn")), n).alias("months_runway")
-    )
+    values = {
+        "cv_monthly_net": F.when(F.col("n_months") > 1, _ratio(F.col("turnover_sd"), F.abs("turnover_mean"))),
+        "net_operating_ratio": _ratio(F.col("total_in"), F.col("total_out")),
+        "txn_frequency_trend": F.when(F.col("n_months") >= 3, _ratio(F.col("slope"), F.col("mean_n"))),
+        "max_zero_day_streak_90d": streak,
+        # peak balance of the last 90 days of activity over the mean monthly outflow
+        "months_runway": F.when(F.col("burn") > 0, _ratio(F.col("cash_buffer"), F.col("burn"))),
+        "velocity_90_180": _ratio(F.col("net_90"), F.col("net_180") - F.col("net_90")),
+        "txn_count_90d": F.col("n_90"),
+        "txn_count_180d": F.col("n_180"),
+        "mean_txn_amount": F.col("mean_all"),
+        "std_txn_amount": F.sqrt(F.col("spread") / (n - 1)),
+        "total_inflow": _double("total_in"),
+        "total_outflow": _double("total_out"),
+        "active_days_ratio": F.when(F.col("span") > 0, _ratio(F.col("active_days"), F.col("span"))).otherwise(F.lit(1.0)),
+    }
+    return stats.select(*KEYS, n, *[guarded(v, n).alias(k) for k, v in values.items()])
 
 
 def payee_flows(transactions: DataFrame, as_of, mapping: DataFrame | None = None) -> DataFrame:
@@ -267,12 +247,9 @@ def stability_vector(
     transactions: DataFrame, as_of, companies: DataFrame | None = None, mapping: DataFrame | None = None
 ) -> DataFrame:
     """All features for every company of the spine; null where the history is too short."""
-    daily = daily_flows(transactions, as_of)
-    days, months = day_features(daily), month_features(daily)
     n = F.col("n_transactions")
     features = (
-        days.join(months.drop("n_transactions"), KEYS)
-        .withColumn("months_runway", guarded(_ratio(F.col("cash_buffer"), F.col("monthly_burn")), n))
+        calendar_features(daily_flows(transactions, as_of))
         .join(payee_features(payee_flows(transactions, as_of, mapping)), KEYS)
         .join(median_amount(transactions, as_of), KEYS)
         .withColumn("median_txn_amount", guarded(F.col("median_all"), n))
