@@ -142,7 +142,7 @@ query(
     "ml_temporal_folds",
     oracle(
         "SELECT f AS fold, company_id, CASE WHEN pos < n - (5 - f) * t THEN 'train' ELSE 'test' END AS role FROM ("
-        "SELECT company_id, row_number() OVER (ORDER BY application_date, company_id) - 1 AS pos, count(*) OVER () AS n, CAST(floor(count(*) OVER () * 0.2) AS BIGINT) AS t FROM default_labels) r "
+        "SELECT company_id, row_number() OVER (ORDER BY application_date, md5(CAST(company_id AS VARCHAR)), company_id) - 1 AS pos, count(*) OVER () AS n, CAST(floor(count(*) OVER () * 0.2) AS BIGINT) AS t FROM default_labels) r "
         "CROSS JOIN (SELECT CAST(unnest(range(0, 5)) AS INT) AS f) k WHERE n - (5 - f) * t > 0 AND t > 0 AND pos < n - (5 - f) * t + t",
         "fold company_id role", uses="default_labels",
     ),

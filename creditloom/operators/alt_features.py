@@ -9,7 +9,8 @@ from creditloom.operators.txn_features import KEYS, as_of_rows, spine_of
 from creditloom.plans.ranks import row_positions
 
 DECAY_DAYS = 30.0
-ID_BLOCK = 65536
+# Reviews of one company are ordered day by day and, inside a day, in blocks of ids.
+ID_BLOCK = 1 << 22
 REGISTRY = ["number_of_officers", "number_of_shareholders", "share_capital", "mortgages_count", "charges_count"]
 REGISTRY_NAMES = ["num_officers", "num_shareholders", "share_capital", "mortgages_count", "charges_count"]
 

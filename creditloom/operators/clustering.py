@@ -71,38 +71,94 @@ def postings(vectors: DataFrame, threshold: float) -> DataFrame:
     ).drop("tails", "at")
 
 
-def cosine_pairs(names: DataFrame, eps: float = 0.3) -> DataFrame:
-    """(name_a, name_b, cosine) for every pair of names within cosine distance ``eps``.
+def _weight_in(items: str):
+    return lambda gram: F.aggregate(
+        F.filter(items, lambda y: y["gram"] == gram), F.lit(0.0), lambda acc, y: acc + y["weight"]
+    )
+
+
+def _cosine(items_a: str, items_b: str) -> Column:
+    weight_in_b = _weight_in(items_b)
+    return F.aggregate(items_a, F.lit(0.0), lambda acc, x: acc + x["weight"] * weight_in_b(x["gram"]))
 
-    Pairs meet on a shared rare gram.  Frequent grams are split into cells of at most
-    ``CELL`` x ``CELL`` names so that no task gets a whole posting list, and a pair is scored
-    only at its first common gram and only if the norms from there on allow the threshold.
+
+def _meetings(found: DataFrame, threshold: float, apart: str | None = None) -> DataFrame:
+    """Pairs of postings within the threshold, each pair once.
+
+    Frequent grams are split into cells of at most ``CELL`` x ``CELL`` names so that no task
+    gets a whole posting list.  A pair is scored only at its first common gram, only if the
+    norms from there on allow the threshold and, with ``apart``, only if it differs there.
     """
-    threshold = 1.0 - eps
-    found = cut_lineage(postings(name_vectors(tfidf(names)), threshold))
     parts = found.groupBy("gram").agg(F.ceil(F.count("*") / CELL).alias("parts"))
     found = found.join(parts.where("parts > 1"), "gram", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     own = F.pmod(F.xxhash64("name"), F.col("parts"))
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
-    left = found.select(
-        F.col("name").alias("name_a"), F.col("items").alias("items_a"), F.col("grams").alias("grams_a"),
-        "gram", F.col("tail").alias("tail_a"), own.alias("part_a"), every.alias("part_b"),
-    )
-    right = found.select(
-        F.col("name").alias("name_b"), F.col("items").alias("items_b"), F.col("grams").alias("grams_b"),
-        "gram", F.col("tail").alias("tail_b"), own.alias("part_b"), every.alias("part_a"),
-    )
+    carried = ["name", "items", "grams", "tail", *([apart] if apart else [])]
+
+    def side(suffix: str, mine: str, other: str) -> DataFrame:
+        columns = [F.col(c).alias(f"{c}_{suffix}") for c in carried]
+        return found.select("gram", *columns, own.alias(mine), every.alias(other))
+
     close = (
         (F.col("name_a") < F.col("name_b"))
         & (F.col("tail_a") * F.col("tail_b") >= threshold - SLACK)
         & (F.get(F.array_intersect("grams_a", "grams_b"), F.lit(0)) == F.col("gram"))
     )
+    if apart:
+        close = (F.col(f"{apart}_a") != F.col(f"{apart}_b")) & close
+    left, right = side("a", "part_a", "part_b"), side("b", "part_b", "part_a")
     pairs = left.join(right, ["gram", "part_a", "part_b"]).where(close)
-    weight_in_b = lambda gram: F.aggregate(
-        F.filter("items_b", lambda y: y["gram"] == gram), F.lit(0.0), lambda acc, y: acc + y["weight"]
+    return pairs.select("name_a", "name_b", _cosine("items_a", "items_b").alias("cosine")).where(
+        F.col("cosine") >= threshold - SLACK
     )
-    product = F.aggregate("items_a", F.lit(0.0), lambda acc, x: acc + x["weight"] * weight_in_b(x["gram"]))
-    return pairs.select("name_a", "name_b", product.alias("cosine")).where(F.col("cosine") >= threshold - SLACK)
+
+
+def cosine_pairs(names: DataFrame, eps: float = 0.3) -> DataFrame:
+    """(name_a, name_b, cosine) for every pair of names within cosine distance ``eps``."""
+    threshold = 1.0 - eps
+    return _meetings(cut_lineage(postings(name_vectors(tfidf(names)), threshold)), threshold)
+
+
+def _first_groups(found: DataFrame, threshold: float) -> DataFrame:
+    """Components of the edges from each name to the first name of its posting lists.
+
+    One score per posting instead of one per pair; names of a dense cluster mostly end up
+    together, so the search for pairs need only look between these groups.
+    """
+    pivots = found.groupBy("gram").agg(F.min_by(F.struct("name", "items"), "name").alias("pivot"))
+    stars = (
+        found.select("gram", "name", "items")
+        .join(pivots, "gram")
+        .where(F.col("name") != F.col("pivot.name"))
+        .select("name", "items", F.col("pivot.name").alias("pivot_name"), F.col("pivot.items").alias("pivot_items"))
+        .where(_cosine("items", "pivot_items") >= threshold - SLACK)
+    )
+    return connected_components(stars.select(F.col("pivot_name").alias("u"), F.col("name").alias("v")))
+
+
+def _linked_names(names: DataFrame, eps: float) -> DataFrame:
+    """(node, component) of the graph of pairs within ``eps``.
+
+    When some gram is frequent, groups found through single scores come first, and pairs
+    inside a group, which cannot change the components, are neither scored nor emitted.
+    """
+    threshold = 1.0 - eps
+    found = cut_lineage(postings(name_vectors(tfidf(names)), threshold))
+    longest = found.groupBy("gram").count().agg(F.max("count")).first()[0]
+    if not longest or longest <= CELL:
+        pairs = _meetings(found, threshold)
+        return connected_components(pairs.select(F.col("name_a").alias("u"), F.col("name_b").alias("v")))
+    groups = cut_lineage(_first_groups(found, threshold))
+    grouped = found.join(groups.withColumnRenamed("node", "name"), "name", "left").withColumn(
+        "component", F.coalesce("component", "name")
+    )
+    between = _meetings(grouped, threshold, apart="component").select(
+        F.col("name_a").alias("u"), F.col("name_b").alias("v")
+    )
+    inside = groups.where(F.col("node") != F.col("component")).select(
+        F.col("component").alias("u"), F.col("node").alias("v")
+    )
+    return connected_components(between.union(inside))
 
 
 def cluster_names(names: DataFrame, eps: float = 0.3) -> DataFrame:
@@ -114,10 +170,7 @@ def cluster_names(names: DataFrame, eps: float = 0.3) -> DataFrame:
     """
     names = names.where(F.length(F.regexp_replace("name", r"(?U)^\s+|\s+$", "")) > 1)
     names = cut_lineage(names)
-    pairs = cosine_pairs(names, eps)
-    members = cut_lineage(
-        connected_components(pairs.select(F.col("name_a").alias("u"), F.col("name_b").alias("v")))
-    )
+    members = cut_lineage(_linked_names(names, eps))
     exemplars = members.groupBy("component").agg(
         F.min_by("node", F.struct(F.length("node").alias("n"), F.col("node").alias("t"))).alias("exemplar")
     )

@@ -159,7 +159,9 @@ def test_clusters_against_brute_force(spark):
 def test_split_posting_lists(spark, monkeypatch):
     df = spark.createDataFrame([(f"PAYER {i}", 1) for i in range(60)], "name STRING, copies BIGINT")
     whole = {(r[0], r[1]) for r in clustering.cosine_pairs(df, 0.5).collect()}
+    clusters = sorted(tuple(r) for r in clustering.cluster_names(df, 0.5).collect())
     monkeypatch.setattr(clustering, "CELL", 7)
+    assert sorted(tuple(r) for r in clustering.cluster_names(df, 0.5).collect()) == clusters and clusters
     assert {(r[0], r[1]) for r in clustering.cosine_pairs(df, 0.5).collect()} == whole and whole
 
 
