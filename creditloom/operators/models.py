@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from creditloom.operators import prep
 from creditloom.operators.metrics import metric_suite
-from creditloom.session import cut_lineage
+from creditloom.session import cut_lineage, ensure_checkpoint_dir
 
 SEED = 42
 VECTOR = "features_vector"
@@ -52,6 +52,7 @@ def fit(
     n_trees: int = 200,
 ) -> PipelineModel:
     """Fit preprocessing and model on labelled rows; optionally on the k best features only."""
+    ensure_checkpoint_dir(train.sparkSession)
     features = list(features or prep.available_features(train))
     if select_best:
         features = prep.select_k_best(train, features, min(select_best, len(features)), label)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,13 +35,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Let iterative estimators checkpoint their own state in the shared folder."""
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and continue from the files.
+    """Write ``df`` as a table in the shared folder and continue from its files.
 
-    Used between the rounds of iterative operators: a lost executor re-reads the files
-    instead of replaying every earlier round.
+    Used between the rounds of iterative operators and before a stage that is read several
+    times: a lost executor re-reads files instead of replaying the earlier rounds, later
+    stages prune columns, and their joins are planned with the real size of the table.
     """
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stages/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
