@@ -99,8 +99,7 @@ FROM {orders}""",
         "orders",
     ),
     "dictionary": (
-        """SELECT entry, CAST(row_number() OVER (ORDER BY entry) AS INT) AS entry_rank
-FROM (SELECT DISTINCT upper(p_name) AS entry FROM {part}) d""",
+        """SELECT DISTINCT upper(p_name) AS entry, upper(p_name) AS entry_rank FROM {part}""",
         "part",
     ),
     "overrides": (

@@ -32,7 +32,13 @@ def tidy(df: DataFrame) -> DataFrame:
 def query(name: str, oracle: str | None = None):
     def register(function):
         assert name not in QUERIES, name
-        QUERIES[name] = lambda spark, sf_dir: tidy(function(spark, sf_dir))
+
+        def run(spark, sf_dir):
+            # Day windows of the streams are cut in the session time zone.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return tidy(function(spark, sf_dir))
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return function
