@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,9 +28,15 @@ def build_session(app_name: str = "creditloom", master: str | None = None, **con
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a scratch folder only where none is configured."""
+    """The folder that driver and executors share, as named by ``spark.checkpoint.dir``.
+
+    Only a local session, where one machine does everything, may go without the setting and
+    gets a scratch folder; a cluster without a shared folder is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="creditloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
