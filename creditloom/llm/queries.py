@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from creditloom.llm import ngram_join
+from creditloom.llm import language_id, ngram_join
 from creditloom.llm.text import table
 
 QUERIES: dict = {}
@@ -23,3 +23,8 @@ def query(name: str, oracle: str | None = None):
 def op5(spark, sf_dir):
     found = ngram_join.ngram_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+@query("op7_language_id")
+def op7(spark, sf_dir):
+    return language_id.learn_and_identify(table(spark, sf_dir, "documents"))
