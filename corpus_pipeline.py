@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditloom.llm import language_id, ngram_join
+from creditloom.llm import decontamination, language_id, ngram_join, secret_scan
 from creditloom.llm.text import table
 from creditloom.session import shared_folder
 
@@ -21,9 +21,21 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return ngram_join.one_of_each_group(docs)
 
 
+def without_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination (3): documents that hold a benchmark item go."""
+    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def with_masked_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret scans (4): documents stay, their secrets are masked and n_chars follows."""
+    return secret_scan.masked(docs)
+
+
 STAGES = [
     ("language ID", in_a_language),
     ("n-gram Jaccard join", without_near_copies),
+    ("benchmark decontamination", without_benchmark_items),
+    ("secret scans", with_masked_secrets),
 ]
 
 # Viterbi labels, edit distances and raked weights are beyond SQL; tests hold run() against a

@@ -161,10 +161,12 @@ class Model:
 
     def describe(self, texts: list[str | None]) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
         """(language, score, spans) of each text; see ``identify``."""
+        if not self.languages:
+            return [(UNKNOWN, 0.0, [])] * len(texts)
         found = [self.words(t or "") for t in texts]
         out = []
         for (start, end, score), path in zip(found, self.paths([f[2] for f in found]), strict=True):
-            if not len(path) or not self.languages:
+            if not len(path):
                 out.append((UNKNOWN, 0.0, []))
                 continue
             letters = np.bincount(path, weights=end - start, minlength=len(self.languages))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from creditloom.llm import language_id, ngram_join
+from creditloom.llm import decontamination, language_id, ngram_join, secret_scan
 from creditloom.llm.text import table
 
 QUERIES: dict = {}
@@ -28,3 +28,13 @@ def op5(spark, sf_dir):
 @query("op7_language_id")
 def op7(spark, sf_dir):
     return language_id.learn_and_identify(table(spark, sf_dir, "documents"))
+
+
+@query("op3_decontamination")
+def op3(spark, sf_dir):
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_secret_scan")
+def op4(spark, sf_dir):
+    return secret_scan.digest(table(spark, sf_dir, "documents"))
