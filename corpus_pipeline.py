@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditloom.llm import decontamination, language_id, ngram_join, secret_scan
+from creditloom.llm import decontamination, language_id, ngram_join, secret_scan, source_mixing
 from creditloom.llm.text import table
 from creditloom.session import shared_folder
 
@@ -31,11 +31,18 @@ def with_masked_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return secret_scan.masked(docs)
 
 
+def mixed_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing sources to target weights (6): the sampled documents and their probability."""
+    mixed = source_mixing.mix(docs)
+    return mixed.where("sampled").select("doc_id", "source", "lang", "topic", "n_tokens", "factor", "probability")
+
+
 STAGES = [
     ("language ID", in_a_language),
     ("n-gram Jaccard join", without_near_copies),
     ("benchmark decontamination", without_benchmark_items),
     ("secret scans", with_masked_secrets),
+    ("mixing sources to target weights", mixed_to_targets),
 ]
 
 # Viterbi labels, edit distances and raked weights are beyond SQL; tests hold run() against a

@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from creditloom.llm import decontamination, language_id, ngram_join, secret_scan
+from creditloom.llm import (
+    decontamination,
+    language_id,
+    license_scan,
+    ngram_join,
+    pii,
+    quality_rules,
+    secret_scan,
+    source_mixing,
+)
 from creditloom.llm.text import table
 
 QUERIES: dict = {}
@@ -38,3 +47,23 @@ def op3(spark, sf_dir):
 @query("op4_secret_scan")
 def op4(spark, sf_dir):
     return secret_scan.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op6_source_mixing", source_mixing.oracle())
+def op6(spark, sf_dir):
+    return source_mixing.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op2_quality_rules")
+def op2(spark, sf_dir):
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_pii")
+def op8(spark, sf_dir):
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op10_license_scan")
+def op10(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
