@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from creditloom.llm import (
     decontamination,
+    html_extract,
     language_id,
     license_scan,
     ngram_join,
@@ -11,6 +12,7 @@ from creditloom.llm import (
     quality_rules,
     secret_scan,
     source_mixing,
+    token_counts,
 )
 from creditloom.llm.text import table
 
@@ -67,3 +69,13 @@ def op8(spark, sf_dir):
 @query("op10_license_scan")
 def op10(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op1_token_counts")
+def op1(spark, sf_dir):
+    return token_counts.count_cleaned(table(spark, sf_dir, "documents"))
+
+
+@query("op9_html_extract")
+def op9(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))
