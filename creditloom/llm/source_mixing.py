@@ -17,7 +17,7 @@ AXES = ("source", "lang", "topic")
 # Share of an axis value in the target: its token share to this power, brought to a sum of 1.
 TEMPERING = {"source": 0.7, "lang": 0.7, "topic": 0.8}
 MISSING = "(none)"
-CYCLES = 60
+CYCLES = 20
 TOLERANCE = 1e-10
 
 
@@ -50,34 +50,30 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], cycles: int = CYCLES,
     """``cells`` (axes, tokens) with the column factor.
 
     After fitting, sum(tokens * factor) over the cells of an axis value is its target share,
-    for every axis, until a cycle moves no factor by over ``tolerance`` (relative).  A cycle sets
-    the factors of each axis in turn to target over current sum.  Values without a target get
-    factor 0.  Targets that exclude each other have no joint solution; the last axis then
-    fits exactly, the others as well as they can.
+    for every axis, as nearly as ``cycles`` cycles bring it; they end sooner once a cycle moves
+    no factor of the last axis by over ``tolerance`` (relative).  A cycle sets the factors of
+    each axis in turn to target over current sum, so the last axis always fits exactly.  Values
+    without a target get factor 0.  Targets that exclude each other have no joint solution.
     """
     axes = list(targets)
     base = cut_lineage(cells.where("tokens > 0"))
     factors = {a: cut_lineage(targets[a].select(a, "target", F.lit(1.0).alias(f"f_{a}"))) for a in axes}
     for _ in range(cycles):
-        worst = None
         for a in axes:
-            others = base
-            for b in axes:
-                if b != a:
-                    others = others.join(factors[b].select(b, f"f_{b}"), b)
-            weight = F.col("tokens").cast("double")
+            weighted, weight = base, F.col("tokens").cast("double")
             for b in axes:
                 if b != a:
+                    weighted = weighted.join(factors[b].select(b, f"f_{b}"), b)
                     weight = weight * F.col(f"f_{b}")
-            sums = others.groupBy(a).agg(F.sum(weight).alias("_sum"))
-            moved = factors[a].join(sums, a, "left").withColumnRenamed(f"f_{a}", "_old")
+            sums = weighted.groupBy(a).agg(F.sum(weight).alias("_sum"))
+            moved = factors[a].withColumnRenamed(f"f_{a}", "_old").join(sums, a, "left")
             fresh = F.when(F.col("_sum") > 0, F.col("target") / F.col("_sum")).otherwise(F.lit(0.0))
-            moved = cut_lineage(moved.select(a, "target", fresh.alias(f"f_{a}"), (F.abs(F.col("_old") / fresh - 1)).alias("_moved")))
-            gap = moved.where(F.col(f"f_{a}") > 0).agg(F.max("_moved")).first()[0] or 0.0
-            worst = gap if worst is None else max(worst, gap)
-            factors[a] = moved.select(a, "target", f"f_{a}")
-        if worst < tolerance:
+            factors[a] = cut_lineage(moved.select(a, "target", "_old", fresh.alias(f"f_{a}")))
+        last, old = F.col(f"f_{axes[-1]}"), F.col("_old")
+        gap = factors[axes[-1]].where(last > 0).agg(F.max(F.abs(old / last - 1))).first()[0] or 0.0
+        if gap < tolerance:
             break
+        factors = {a: f.drop("_old") for a, f in factors.items()}
     out = base
     for a in axes:
         out = out.join(factors[a].select(a, f"f_{a}"), a, "left")
@@ -99,6 +95,7 @@ def mix(
     source: str = "source",
     lang: str = "lang",
     tempering: dict[str, float] | None = None,
+    cycles: int = CYCLES,
 ) -> DataFrame:
     """One row for each row of ``docs``: doc_id, source, lang, topic, n_tokens, factor,
     probability, sampled.
@@ -121,7 +118,7 @@ def mix(
     )
     rows = cut_lineage(rows)
     cells = cut_lineage(rows.groupBy(*AXES).agg(F.sum("n_tokens").alias("tokens")))
-    raked = cut_lineage(rake(cells, {a: tempered_targets(cells, a, tempering[a]) for a in AXES}))
+    raked = cut_lineage(rake(cells, {a: tempered_targets(cells, a, tempering[a]) for a in AXES}, cycles))
     most = raked.agg(F.max("factor")).first()[0]
     raked = raked.select(*AXES, "factor", (F.col("factor") / F.lit(most)).alias("probability"))
     out = rows.join(raked, list(AXES), "left")
@@ -137,7 +134,7 @@ def digest(docs: DataFrame) -> DataFrame:
     return mix(docs).select("doc_id", *AXES, "n_tokens", F.round("probability", 5).alias("probability"), "sampled")
 
 
-def oracle(cycles: int = 30) -> str:
+def oracle(cycles: int = CYCLES) -> str:
     """DuckDB text for ``digest``: the cycles of raking one after another."""
     parts = [
         f"""rows AS MATERIALIZED (
