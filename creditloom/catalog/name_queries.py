@@ -186,7 +186,7 @@ def match_tables(source):
     "er_fuzzy_match",
     oracle(
         f"SELECT f.normalised AS name, CASE WHEN b.score >= {THRESHOLD} THEN b.entry ELSE f.normalised END AS match, "
-        f"coalesce(b.score, 0) AS score, coalesce(b.score, 0) >= {THRESHOLD} AS accepted "
+        f"CASE WHEN b.score >= {THRESHOLD} THEN b.score END AS score, coalesce(b.score, 0) >= {THRESHOLD} AS accepted "
         "FROM forms f LEFT JOIN fz_best b ON f.normalised = b.normalised",
         "name match accepted", "score", uses="forms overrides dictionary", extra=match_tables("forms"),
     ),

@@ -240,11 +240,7 @@ query(
     ),
 )(lambda spark, sf: rules.prior_default_rate(view(spark, sf, "companies"), industries(spark, sf)))
 
-_GROUPS = ", ".join(
-    f"('{g}', '{line.split(': ')[0]}')"
-    for line in rules.CATEGORIES.strip().splitlines()
-    for g in line.split(": ")[1].split(", ")
-)
+_GROUPS = ", ".join(f"('{group}', '{category}')" for group, category in rules.CATEGORIES)
 _GROUP_OF = "CASE WHEN raw LIKE 'PAYER%' THEN 'Stripe' WHEN raw LIKE '%bolt%' THEN 'Shell' WHEN raw LIKE '%gear%' THEN 'Courier' ELSE raw END"
 query(
     "rg_category_lookup",

@@ -35,26 +35,39 @@ def grey_zone(scores: DataFrame, p: str = "p", low: float = 0.4, high: float = 0
 def top_drivers(vectors: DataFrame, importances: DataFrame, features, k: int = 5, key: str = "company_id") -> DataFrame:
     """Top k features of each company by importance x |value|.
 
-    ``importances`` is (feature, importance), one row per model feature.  The impact is High
-    above the 75th percentile of the company's own contributions.
+    ``importances`` is (feature, importance), one row per model feature, read as numbers.  The
+    impact is High above the 75th percentile of the company's own contributions.  All of it
+    happens inside the company's row, without a shuffle.
     """
-    features = list(features)
-    long = vectors.select(key, *[F.col(f).cast("double").alias(f) for f in features]).unpivot(
-        [key], features, "feature", "value"
-    )
-    scored = long.join(F.broadcast(importances), "feature").withColumn(
-        "contribution", F.col("importance") * F.abs("value")
-    )
-    each = Window.partitionBy(key)
-    ranked = each.orderBy(F.desc_nulls_last("contribution"), "feature")
-    cut = F.expr("percentile(contribution, 0.75)").over(each)
-    return (
-        scored.withColumns({"cut": cut, "position": F.row_number().over(ranked)})
-        .where(F.col("position") <= k)
-        .select(
-            key, "position", "feature", "value", "contribution",
-            F.when(F.col("contribution") > F.col("cut"), "High").otherwise("Medium").alias("impact"),
+    weights = {r["feature"]: r["importance"] for r in importances.collect()}
+    features = [f for f in features if f in weights]
+    entries = [
+        F.struct(
+            # Sorting by the negated contribution puts the largest first; nulls go last.
+            (F.col(f).isNull() | F.isnan(F.col(f).cast("double"))).alias("absent"),
+            (-F.lit(weights[f]) * F.abs(F.col(f).cast("double"))).alias("order"),
+            F.lit(f).alias("feature"),
+            F.col(f).cast("double").alias("value"),
         )
+        for f in features
+    ]
+    ranked = vectors.select(key, F.array_sort(F.array(*entries)).alias("all"))
+    sizes = F.transform(F.filter("all", lambda e: ~e["absent"]), lambda e: -e["order"])  # falling
+    n = F.size("sizes")
+    place = F.lit(0.25) * (n - 1)
+    at = F.floor(place).cast("int")
+    upper, lower = F.get("sizes", at), F.get("sizes", F.least(at + 1, n - 1))
+    cut = F.when(n > 0, upper + (place - at) * (lower - upper))
+    ranked = ranked.withColumn("sizes", sizes).withColumn("cut", cut)
+    best = ranked.select(key, "cut", F.posexplode(F.slice("all", 1, k)).alias("position", "e"))
+    contribution = -F.col("e.order")
+    return best.select(
+        key,
+        (F.col("position") + 1).alias("position"),
+        "e.feature",
+        "e.value",
+        contribution.alias("contribution"),
+        F.when(contribution > F.col("cut"), "High").otherwise("Medium").alias("impact"),
     )
 
 

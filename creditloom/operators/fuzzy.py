@@ -18,11 +18,7 @@ from creditloom.functions.similarity import (
     ratio_from_lcs,
     token_sorted,
 )
-from creditloom.session import cut_lineage
-
 SALTS = 8
-# A score this low is reached by any two texts with one common character.
-ANY_SCORE = 1e-6
 
 
 def token_sort_ratio(a: Column, b: Column) -> Column:
@@ -103,24 +99,13 @@ def match_names(names: DataFrame, dictionary: DataFrame, threshold: float = 70.0
 def fuzzy_match(names: DataFrame, dictionary: DataFrame, threshold: float = 70.0) -> DataFrame:
     """(name, match, score, accepted) for every name.
 
-    A name without an accepted entry is its own match and keeps its best score.  Best scores
-    below the threshold are found by searching the remaining names again with a lower one,
-    so only misses pay for the weaker filter.
+    A name without an entry at or above the threshold is its own match; its score is null,
+    since nothing uses how far below the threshold it stays.
     """
-    found = cut_lineage(match_names(names, dictionary, threshold))
-    rounds = [found]
-    for level in (threshold / 2, ANY_SCORE):
-        remaining = names.select("name").where(F.length("name") >= 2)
-        for done in rounds:
-            remaining = remaining.join(done.select("name"), "name", "left_anti")
-        rounds.append(cut_lineage(_best(candidate_scores(remaining, dictionary, level))))
-    best = rounds[0]
-    for later in rounds[1:]:
-        best = best.unionByName(later)
-    score = F.coalesce(F.col("score"), F.lit(0.0))
-    return names.select("name").join(best, "name", "left").select(
+    found = match_names(names, dictionary, threshold)
+    return names.select("name").join(found, "name", "left").select(
         "name",
-        F.when(score >= threshold, F.col("match")).otherwise(F.col("name")).alias("match"),
-        score.alias("score"),
-        (score >= threshold).alias("accepted"),
+        F.coalesce("match", "name").alias("match"),
+        "score",
+        F.col("score").isNotNull().alias("accepted"),
     )

@@ -51,15 +51,18 @@ def fit(
     train: DataFrame, model_type: str, features=None, label: str = "defaulted", select_best: int | None = None,
     n_trees: int = 200,
 ) -> PipelineModel:
-    """Fit preprocessing and model on labelled rows; optionally on the k best features only."""
+    """Fit preprocessing and model on labelled rows; optionally on the k best features only.
+
+    Features without a value among those rows are left out.
+    """
     ensure_checkpoint_dir(train.sparkSession)
-    features = list(features or prep.available_features(train))
+    train = train.where(F.col(label).isNotNull())
+    usable = set(prep.available_features(train))
+    features = [f for f in features or prep.NUMERIC_FEATURES if f in usable]
     if select_best:
         features = prep.select_k_best(train, features, min(select_best, len(features)), label)
     stages = preprocessing_stages(train, features)
-    data = prep.with_class_weight(train.where(F.col(label).isNotNull()), label).withColumn(
-        "label", F.col(label).cast("double")
-    )
+    data = prep.with_class_weight(train, label).withColumn("label", F.col(label).cast("double"))
     return Pipeline(stages=[*stages, estimator(model_type, train.count(), n_trees)]).fit(data)
 
 
@@ -112,8 +115,7 @@ def cross_validate(
         train, test = rows.where("role = 'train'"), rows.where("role = 'test'")
         if train.select(label).distinct().count() < 2:
             continue
-        usable = set(prep.available_features(train))
-        model = fit(train, model_type, [f for f in features if f in usable], label, n_trees=n_trees)
+        model = fit(train, model_type, features, label, n_trees=n_trees)
         for role, part in (("train", train), ("test", test)):
             row = evaluate(model, part, label).select(
                 F.lit(number).alias("fold"), F.lit(role).alias("role"), "auc_roc", "ks_statistic", "brier_score"

@@ -94,9 +94,13 @@ def fitted_rows(scaling: DataFrame) -> dict[str, tuple[float, float, float]]:
 
 
 def impute(df: DataFrame, medians: DataFrame, features, keys) -> DataFrame:
-    """Wide table with missing values replaced by the fitted medians."""
+    """Wide table with missing values replaced by the fitted medians.
+
+    A feature that has no value in the fitted rows has no median; it stays as it is.
+    """
     values = {r["feature"]: r["median"] for r in medians.collect()}
-    return df.select(*keys, *[F.coalesce(F.col(f).cast("double"), F.lit(values[f])).alias(f) for f in features])
+    filled = lambda f: F.coalesce(F.col(f).cast("double"), F.lit(values.get(f)).cast("double"))
+    return df.select(*keys, *[filled(f).alias(f) for f in features])
 
 
 def scaled(column: str, fitted) -> Column:

@@ -199,9 +199,22 @@ def hash_order(*columns, seed: int = 42) -> Column:
 
 
 def sample_rows(df: DataFrame, n: int, key, seed: int = 42) -> DataFrame:
-    """n distinct-key rows without replacement; each partition forwards at most n rows."""
+    """n distinct-key rows without replacement, the first by a hash of their key.
+
+    The leading digits of the hash cut the rows into 65,536 even buckets; whole buckets are
+    taken as long as they fit and only the bucket that holds the n-th row is ranked.
+    """
     key = [key] if isinstance(key, str) else list(key)
-    return df.orderBy(hash_order(*key, seed=seed), *key).limit(n)
+    hashed = df.withColumn("_h", hash_order(*key, seed=seed)).withColumn("_bucket", F.substring("_h", 1, 4))
+    sizes = hashed.groupBy("_bucket").agg(F.count("*").alias("_size"))
+    upto = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(upto), F.lit(0))).where(F.col("_before") < n)
+    kept = hashed.join(sizes, "_bucket")
+    whole = kept.where(F.col("_before") + F.col("_size") <= n)
+    last = kept.where(F.col("_before") + F.col("_size") > n)
+    at = F.row_number().over(Window.partitionBy("_bucket").orderBy("_h", *key))
+    last = last.withColumn("_at", at).where(F.col("_before") + F.col("_at") <= n).drop("_at")
+    return whole.unionByName(last).select(*df.columns)
 
 
 def sample_by_class(df: DataFrame, k: int, by: str, key: str, seed: int = 42) -> DataFrame:

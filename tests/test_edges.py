@@ -133,11 +133,20 @@ def test_similarity_and_best_match(spark):
     for row in got:
         scores = [ratio(row["name"], e) for e in entries]
         best = max(scores) if len(row["name"]) >= 2 else 0.0
-        assert row["score"] == pytest.approx(best)
+        assert row["accepted"] == (best >= 70)
         if best >= 70:
+            assert row["score"] == pytest.approx(best)
             assert row["match"] == entries[scores.index(max(scores))]
         else:
-            assert row["match"] == row["name"]
+            assert row["match"] == row["name"] and row["score"] is None
+
+
+def test_hot_and_null_names_keep_their_rows(spark):
+    rows = [(i, ["A", "B", None, "C"][i % 4]) for i in range(80)]
+    mapping = spark.createDataFrame([("A", "one"), ("C", None), ("Z", "no")], "raw STRING, canonical STRING")
+    got = resolution.apply_mapping(spark.createDataFrame(rows, "id INT, merchant_name STRING"), mapping, hot_rows=3, parts=5)
+    want = {(i, n, {"A": "one"}.get(n, n)) for i, n in rows}
+    assert {tuple(r) for r in got.collect()} == want and got.count() == 80
 
 
 def test_clusters_against_brute_force(spark):
