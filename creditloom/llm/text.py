@@ -35,26 +35,35 @@ class Remembered(dict):
         return value
 
 
-def mixed(h: np.ndarray) -> np.ndarray:
-    """Spread the bits of 64-bit numbers (a bijection)."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+# Odd multipliers, one for each place of a shingle; longer shingles use them in turn.
+PLACES = [0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
 
-def shingle_hashes(words: list[bytes], width: int, memo: Remembered) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the ``width``-word shingles.
+def sorted_distinct(h: np.ndarray) -> np.ndarray:
+    h = np.sort(h)
+    keep = np.empty(len(h), bool)
+    keep[:1] = True
+    np.not_equal(h[1:], h[:-1], out=keep[1:])
+    return h[keep]
 
-    Fewer words than ``width`` make one shingle of the whole sequence; no words make none.
+
+def shingle_hashes(words: list[bytes], width: int, memo: Remembered, below: int | None = None) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the ``width``-word shingles, all or those under ``below``.
+
+    Fewer words than ``width`` make one shingle of the whole sequence; no words make none.  A
+    shingle's hash is a sum of its words' hashes, each times the multiplier of its place.
     """
     if not words:
         return np.empty(0, np.uint64)
     ids = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
     span = min(width, len(ids))
-    h = np.full(len(ids) - span + 1, span, np.uint64)
-    for i in range(span):
-        h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + ids[i : len(ids) - span + 1 + i])
-    return np.unique(h)
+    n = len(ids) - span + 1
+    h = ids[:n] * np.uint64(PLACES[0]) + np.uint64(span)
+    for i in range(1, span):
+        h += ids[i : n + i] * np.uint64(PLACES[i % len(PLACES)] + 2 * (i // len(PLACES)))
+    if below is not None:
+        h = h[h < np.uint64(below)]
+    return sorted_distinct(h)
 
 
 def word_memo() -> Remembered:
