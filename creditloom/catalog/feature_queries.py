@@ -10,6 +10,7 @@ from creditloom.catalog.registry import oracle, query
 from creditloom.operators import alt_features as alt
 from creditloom.operators import store
 from creditloom.operators import txn_features as txn
+from creditloom.sources import tables
 from creditloom.streaming.feeds import work_folder
 
 # --- transaction features: DuckDB tables --------------------------------------------------
@@ -184,7 +185,7 @@ cte(
     "CASE WHEN count(*) >= 6 THEN regr_slope(sentiment_score, pos) WHEN count(*) >= 3 THEN 0.0 END AS google_sentiment_trend, "
     "CASE WHEN count(*) >= 3 THEN count(*) FILTER (as_of_date - review_date <= 90) / 3.0 END AS google_review_velocity FROM ("
     "SELECT s.company_id, s.as_of_date, r.review_date, r.sentiment_score, exp(-(s.as_of_date - r.review_date) / 30.0) AS w, "
-    "CAST(row_number() OVER (PARTITION BY s.company_id, s.as_of_date ORDER BY r.review_date, r.review_id) - 1 AS DOUBLE) AS pos "
+    "CAST(row_number() OVER (PARTITION BY s.company_id, s.as_of_date ORDER BY r.review_date, r.sentiment_score) - 1 AS DOUBLE) AS pos "
     "FROM spine s JOIN google_reviews r ON r.company_id = s.company_id AND r.review_date <= s.as_of_date) x GROUP BY 1, 2",
 )
 cte(
@@ -200,7 +201,7 @@ cte(
     "SELECT company_id, as_of_date, CASE WHEN count(*) >= 4 THEN CASE WHEN avg(v) > 0 THEN regr_slope(v, pos) / avg(v) ELSE 0 END END AS headcount_growth_rate, "
     "CASE WHEN count(*) >= 2 THEN CAST(arg_max(v, pos) AS INT) END AS headcount_latest FROM ("
     "SELECT s.company_id, s.as_of_date, CAST(h.headcount_estimate AS DOUBLE) AS v, "
-    "CAST(row_number() OVER (PARTITION BY s.company_id, s.as_of_date ORDER BY h.scrape_date, h.scrape_id) - 1 AS DOUBLE) AS pos "
+    "CAST(row_number() OVER (PARTITION BY s.company_id, s.as_of_date ORDER BY h.scrape_date, h.headcount_estimate) - 1 AS DOUBLE) AS pos "
     "FROM spine s JOIN headcount h ON h.company_id = s.company_id AND h.scrape_date <= s.as_of_date) x GROUP BY 1, 2",
 )
 cte(
@@ -216,8 +217,8 @@ cte(
 cte(
     "f_registry",
     "companies",
-    "SELECT company_id, CAST(number_of_officers AS DOUBLE) AS num_officers, CAST(NULL AS DOUBLE) AS num_shareholders, "
-    "CAST(NULL AS DOUBLE) AS share_capital, CAST(NULL AS DOUBLE) AS mortgages_count, CAST(charges_count AS DOUBLE) AS charges_count FROM companies",
+    "SELECT company_id, CAST(number_of_officers AS DOUBLE) AS num_officers, CAST(number_of_shareholders AS DOUBLE) AS num_shareholders, "
+    "CAST(share_capital AS DOUBLE) AS share_capital, CAST(mortgages_count AS DOUBLE) AS mortgages_count, CAST(charges_count AS DOUBLE) AS charges_count FROM companies",
 )
 cte(
     "avec",
@@ -279,15 +280,41 @@ query(
 )(lambda spark, sf: alt.registry_features(view(spark, sf, "companies")))
 
 
+# The declared enrichment tables and the views they are filled from.
+ENRICHMENT = {
+    "google_reviews": "google_reviews",
+    "trustpilot": "trustpilot",
+    "linkedin": "headcount",
+    "property_vacancy": "property_vacancy",
+    "companies_house": "companies",
+}
+
+
+def scanned(spark, rows, name):
+    """``rows`` under the declared schema of a table, written as CSV and read back."""
+    fields = spark.createDataFrame([], tables.SCHEMAS[name]).schema.fields
+    columns = [
+        (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields
+    ]
+    path = work_folder(spark, f"scan-{name}")
+    tables.write_table(rows.select(*columns), path, "csv")
+    return tables.read_table(spark, path, name)
+
+
+def enrichment(spark, sf):
+    """table -> DataFrame; company ids are text in files and numbers in the given tables."""
+    feeds = {t: scanned(spark, view(spark, sf, v), t) for t, v in ENRICHMENT.items()}
+    number = F.col("company_id").cast("bigint")
+    return {t: df.withColumn("company_id", number) if "company_id" in df.columns else df for t, df in feeds.items()}
+
+
 def alternative(spark, sf, as_of=None):
+    """The vector from the declared tables, written as CSV and scanned by the reader."""
+    feeds = enrichment(spark, sf)
     return alt.alternative_vector(
         view(spark, sf, "companies"),
         spine(spark, sf) if as_of is None else as_of,
-        view(spark, sf, "google_reviews"),
-        view(spark, sf, "trustpilot"),
-        view(spark, sf, "headcount"),
-        view(spark, sf, "property_vacancy"),
-        view(spark, sf, "companies"),
+        *[feeds[t] for t in ("google_reviews", "trustpilot", "linkedin", "property_vacancy", "companies_house")],
     )
 
 

@@ -29,6 +29,9 @@ VIEWS = {
        CAST(1 + c_custkey % 60 AS INT) AS company_age_months,
        CAST(c_acctbal * 10 AS DECIMAL(18,2)) AS loan_amount,
        CAST(1 + c_custkey % 5 AS INT) AS number_of_officers,
+       CAST(1 + c_custkey % 4 AS INT) AS number_of_shareholders,
+       CAST((c_custkey % 50) * 100 AS DECIMAL(18,2)) AS share_capital,
+       CAST(c_custkey % 7 AS INT) AS mortgages_count,
        CAST(c_custkey % 3 AS INT) AS charges_count
 FROM {customer}""",
         "customer",
@@ -67,19 +70,19 @@ FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey JOIN {part} p O
     ),
     "transactions": ("SELECT * FROM {inflows} UNION ALL SELECT * FROM {outflows}", "inflows outflows"),
     "google_reviews": (
-        """SELECT user_id AS company_id, event_id AS review_id, CAST(ts AS DATE) AS review_date,
+        """SELECT user_id AS company_id, CAST(ts AS DATE) AS review_date,
        CAST(1 + event_id % 5 AS INT) AS rating, CAST(event_id % 201 AS DOUBLE) / 100 - 1 AS sentiment_score
 FROM {events} WHERE event_type IN ('view', 'click')""",
         "events",
     ),
     "trustpilot": (
-        """SELECT user_id AS company_id, event_id AS review_id, CAST(ts AS DATE) AS review_date,
+        """SELECT user_id AS company_id, CAST(ts AS DATE) AS review_date,
        CAST(1 + event_id % 5 AS INT) AS rating
 FROM {events} WHERE event_type IN ('purchase', 'signup')""",
         "events",
     ),
     "headcount": (
-        """SELECT user_id AS company_id, event_id AS scrape_id, CAST(ts AS DATE) AS scrape_date,
+        """SELECT user_id AS company_id, CAST(ts AS DATE) AS scrape_date,
        CAST(1 + event_id % 50 AS INT) AS headcount_estimate
 FROM {events} WHERE event_type = 'error'""",
         "events",

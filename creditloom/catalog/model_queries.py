@@ -15,8 +15,7 @@ from creditloom.streaming.feeds import work_folder
 ROBUST, STANDARD = prep.feature_groups(FEATURES)
 ORDER = ROBUST + STANDARD
 KEY = "company_id"
-# Trees of the cross-validated model; the single fits use the full number.
-CV_TREES = 20
+MODELS = ("boosted", "logistic")
 
 
 def ready(spark, sf):
@@ -157,53 +156,145 @@ query(
 )(lambda spark, sf: prep.stratified_split(view(spark, sf, "default_labels").select(KEY, "defaulted"), "defaulted", KEY))
 
 
-# --- fitted models (no SQL equivalent) ------------------------------------------------------
+# --- fitted models: what can be checked of them by value ------------------------------------
+def _both(spark, sf, run):
+    """Union of ``run(model_type)`` over both models."""
+    parts = [run(m).withColumn("model", F.lit(m)) for m in MODELS]
+    return parts[0].unionByName(parts[1])
+
+
 def _split(spark, sf):
     rows = cut_lineage(prep.stratified_split(training(spark, sf), "defaulted", KEY))
     return rows, rows.where("role = 'train'"), rows.where("role = 'test'")
 
 
-def _holdout(spark, sf, model_type):
-    _, train, test = _split(spark, sf)
-    return models.evaluate(models.fit(train, model_type, FEATURES), test)
+_FITTED: dict = {}
+
+
+def _fitted(spark, sf, model_type, whole=False):
+    """The model fitted on the training rows, or on all rows; once for each session."""
+    at = (spark.sparkContext.applicationId, sf, model_type, whole)
+    if at not in _FITTED:
+        rows, train, _ = _split(spark, sf)
+        _FITTED[at] = models.fit(rows if whole else train, model_type, FEATURES)
+    return _FITTED[at]
+
+
+def _probability(p="p"):
+    return F.col(p).between(0.0, 1.0)
 
 
-query("ml_train_gbt")(lambda spark, sf: _holdout(spark, sf, "boosted"))
-query("ml_train_logistic")(lambda spark, sf: _holdout(spark, sf, "logistic"))
+_MODEL_ROWS = "training t CROSS JOIN (VALUES ('boosted'), ('logistic')) m(model)"
 
 
-@query("ml_cross_validate")
+@query(
+    "ml_train_gbt",
+    oracle(
+        "SELECT defaulted, count(*) AS n, true AS valid, true AS ranks FROM training GROUP BY 1",
+        "defaulted n valid ranks", uses="training",
+    ),
+)
+def _(spark, sf):
+    """Rows for each class; whether all scores are probabilities and rank the classes on the
+    rows of the fit better than a constant would."""
+    _, train, _ = _split(spark, sf)
+    model = _fitted(spark, sf, "boosted")
+    scored = cut_lineage(models.score(model, training(spark, sf), [KEY, "defaulted"]))
+    fitted = scored.join(train.select(KEY), KEY)
+    ranks = models.metric_suite(fitted.select(F.col("defaulted").alias("y"), "p")).select(F.col("auc_roc") > 0.5).scalar()
+    counts = scored.groupBy("defaulted").agg(F.count("*").alias("n"), F.every(_probability()).alias("valid"))
+    return counts.withColumn("ranks", ranks)
+
+
+@query(
+    "ml_train_logistic",
+    oracle(
+        " UNION ALL ".join(f"SELECT '{f}' AS feature, true AS flat" for f in [*ORDER, "(intercept)"]), "feature flat"
+    ),
+)
+def _(spark, sf):
+    """Whether the penalised, weighted loss is flat at the fitted coefficients."""
+    _, train, _ = _split(spark, sf)
+    train = cut_lineage(prep.with_class_weight(train, "defaulted"))
+    model = _fitted(spark, sf, "logistic")
+    slopes = models.loss_slopes(model, train, "defaulted", "weight")
+    return slopes.select("feature", (F.abs("slope") < 1e-4).alias("flat"))
+
+
+_FOLD_ROWS = (
+    "SELECT f AS fold, company_id, CASE WHEN pos < n - (5 - f) * t THEN 'train' ELSE 'test' END AS role FROM ("
+    "SELECT company_id, row_number() OVER (ORDER BY application_date, md5(CAST(company_id AS VARCHAR)), company_id) - 1 AS pos, count(*) OVER () AS n, CAST(floor(count(*) OVER () * 0.2) AS BIGINT) AS t FROM default_labels) r "
+    "CROSS JOIN (SELECT CAST(unnest(range(0, 5)) AS INT) AS f) k WHERE n - (5 - f) * t > 0 AND t > 0 AND pos < n - (5 - f) * t + t"
+)
+
+
+@query(
+    "ml_cross_validate",
+    oracle(
+        "SELECT r.fold, r.role, m.model, count(*) AS n_rows, sum(l.defaulted) AS n_defaulted, true AS valid "
+        f"FROM ({_FOLD_ROWS}) r JOIN default_labels l ON l.company_id = r.company_id CROSS JOIN (VALUES ('boosted'), ('logistic')) m(model) "
+        f"WHERE r.fold IN (SELECT fold FROM ({_FOLD_ROWS}) x JOIN default_labels y ON y.company_id = x.company_id WHERE role = 'train' GROUP BY 1 HAVING count(DISTINCT defaulted) > 1) GROUP BY 1, 2, 3",
+        "fold role model n_rows n_defaulted valid", uses="default_labels",
+    ),
+)
 def _(spark, sf):
+    """Rows and defaults of each fold; whether its metrics lie in their ranges."""
     rows = ready(spark, sf)
     folds = cut_lineage(prep.temporal_folds(rows.select(KEY, "application_date")))
-    result = None
-    for model_type in ("boosted", "logistic"):
-        part = models.mean_over_folds(
-            models.cross_validate(rows, folds, model_type, FEATURES, n_trees=CV_TREES)
-        ).withColumn("model", F.lit(model_type))
-        result = part if result is None else result.unionByName(part)
-    return result
+    counts = folds.join(rows.select(KEY, "defaulted"), KEY).groupBy("fold", "role").agg(
+        F.count("*").alias("n_rows"), F.sum("defaulted").alias("n_defaulted")
+    )
+    found = _both(spark, sf, lambda m: models.cross_validate(rows, folds, m, FEATURES))
+    inside = [F.coalesce(F.col(c).between(0.0, 1.0), F.lit(True)) for c in ("auc_roc", "ks_statistic", "brier_score")]
+    valid = found.select("fold", "role", "model", (inside[0] & inside[1] & inside[2]).alias("valid"))
+    return valid.join(counts, ["fold", "role"])
 
 
-@query("ml_score")
+@query(
+    "ml_score",
+    oracle(f"SELECT company_id, model, true AS valid FROM {_MODEL_ROWS}", "company_id model valid", uses="training"),
+)
 def _(spark, sf):
-    _, train, test = _split(spark, sf)
-    return models.score(models.fit(train, "logistic", FEATURES), test, [KEY])
+    """Both models score every company."""
+    rows = ready(spark, sf)
+    return _both(spark, sf, lambda m: models.score(_fitted(spark, sf, m), rows, [KEY])).select(
+        KEY, "model", _probability().alias("valid")
+    )
 
 
-@query("ml_refit_all")
+@query(
+    "ml_refit_all",
+    oracle(
+        f"SELECT company_id, model, role, true AS valid FROM {_MODEL_ROWS} JOIN ("
+        "SELECT company_id, CASE WHEN pos <= round(n * 0.2) THEN 'test' ELSE 'train' END AS role FROM (SELECT company_id, defaulted, "
+        "row_number() OVER (PARTITION BY defaulted ORDER BY md5(concat(company_id, '|42')), company_id) AS pos, count(*) OVER (PARTITION BY defaulted) AS n FROM training) x"
+        ") s USING (company_id)",
+        "company_id model role valid", uses="training",
+    ),
+)
 def _(spark, sf):
-    """The delivered model is fitted on all rows; the hold-out score comes from the earlier one."""
-    rows, train, test = _split(spark, sf)
-    earlier, final = models.fit(train, "logistic", FEATURES), models.fit(rows, "logistic", FEATURES)
-    before = models.score(earlier, test, [KEY]).withColumnRenamed("p", "p_holdout")
-    return before.join(models.score(final, test, [KEY]).withColumnRenamed("p", "p_refit"), KEY)
+    """The delivered models are fitted on all rows; hold-out scores come from the earlier ones."""
+    rows, _, _ = _split(spark, sf)
+
+    def run(m):
+        earlier, final = _fitted(spark, sf, m), _fitted(spark, sf, m, whole=True)
+        before = models.score(earlier, rows, [KEY, "role"]).withColumnRenamed("p", "p_holdout")
+        return before.join(models.score(final, rows, [KEY]).withColumnRenamed("p", "p_refit"), KEY)
 
+    return _both(spark, sf, run).select(KEY, "model", "role", (_probability("p_holdout") & _probability("p_refit")).alias("valid"))
 
-@query("ml_feature_importance")
+
+@query(
+    "ml_feature_importance",
+    oracle(
+        " UNION ALL ".join(f"SELECT '{f}' AS feature, true AS not_negative, true AS sums_to_one" for f in ORDER),
+        "feature not_negative sums_to_one",
+    ),
+)
 def _(spark, sf):
-    rows = ready(spark, sf)
-    return models.feature_importance(spark, models.fit(rows, "boosted", FEATURES, n_trees=CV_TREES))
+    found = cut_lineage(models.feature_importance(spark, _fitted(spark, sf, "boosted", whole=True), top=None))
+    one = found.agg(F.abs(F.sum("importance") - 1) < 1e-6).scalar()
+    return found.select("feature", (F.col("importance") >= 0).alias("not_negative"), one.alias("sums_to_one"))
 
 
 @query(
@@ -223,12 +314,19 @@ def _(spark, sf):
     return models.linear_explanation(_scaled(spark, sf, ORDER), weights, ORDER)
 
 
-@query("save_model")
+@query(
+    "save_model",
+    oracle(f"SELECT company_id, model, true AS same FROM {_MODEL_ROWS}", "company_id model same", uses="training"),
+)
 def _(spark, sf):
-    """Scores of a model after writing and reading it, beside the scores before."""
-    _, train, test = _split(spark, sf)
-    fitted = models.fit(train, "logistic", FEATURES)
-    path = work_folder(spark, "model")
-    models.save_model(fitted, path)
-    before = models.score(fitted, test, [KEY]).withColumnRenamed("p", "p_before")
-    return before.join(models.score(models.load_model(path), test, [KEY]).withColumnRenamed("p", "p_after"), KEY)
+    """Whether both models score every company alike after writing and reading them."""
+    rows = ready(spark, sf)
+
+    def run(m):
+        fitted = _fitted(spark, sf, m)
+        path = work_folder(spark, f"model-{m}")
+        models.save_model(fitted, path)
+        before = models.score(fitted, rows, [KEY]).withColumnRenamed("p", "p_before")
+        return before.join(models.score(models.load_model(path), rows, [KEY]).withColumnRenamed("p", "p_after"), KEY)
+
+    return _both(spark, sf, run).select(KEY, "model", (F.col("p_before") == F.col("p_after")).alias("same"))

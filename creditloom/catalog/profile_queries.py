@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from creditloom.catalog.feature_queries import ENRICHMENT, enrichment, scanned
 from creditloom.catalog.fixtures import cte, view
 from creditloom.catalog.name_queries import simple_mapping
 from creditloom.catalog.registry import oracle, query
@@ -332,28 +333,41 @@ def _(spark, sf):
     return tables.read_table(spark, path, "transactions").drop("payment_method", "reference")
 
 
-_FEEDS = ["google_reviews", "trustpilot", "headcount", "property_vacancy", "companies"]
-_ID = {"property_vacancy": "postcode_area"}
-query(
+# (feed, key, date, two values) of every declared enrichment table.
+_CONTENT = {
+    "google_reviews": ("company_id", "review_date", "rating", "sentiment_score"),
+    "trustpilot": ("company_id", "review_date", "rating", "NULL"),
+    "linkedin": ("company_id", "scrape_date", "headcount_estimate", "NULL"),
+    "property_vacancy": ("postcode_area", "date", "vacancy_rate", "NULL"),
+    "companies_house": ("company_id", "NULL", "share_capital", "mortgages_count"),
+    "merchant_mapping": ("raw", "NULL", "NULL", "NULL"),
+}
+_FROM = {**ENRICHMENT, "merchant_mapping": "normed"}
+
+
+def _content(feed, source):
+    key, date, first, second = _CONTENT[feed]
+    return (
+        f"SELECT '{feed}' AS feed, CAST({key} AS {{text}}) AS key, CAST({date} AS DATE) AS date, "
+        f"CAST({first} AS DOUBLE) AS first_value, CAST({second} AS DOUBLE) AS second_value FROM {source}"
+    )
+
+
+@query(
     "scan_enrichment",
     oracle(
-        " UNION ALL ".join(
-            f"SELECT '{t}' AS feed, count(*) AS n_rows, count(DISTINCT {_ID.get(t, 'company_id')}) AS n_keys FROM {t}" for t in _FEEDS
-        )
-        + " UNION ALL SELECT 'merchant_mapping', count(*), count(DISTINCT raw) FROM normed",
-        "feed n_rows n_keys", uses=" ".join(_FEEDS) + " normed",
+        " UNION ALL ".join(_content(t, v) for t, v in _FROM.items()).replace("{text}", "VARCHAR"),
+        "feed key date", "first_value second_value", uses=" ".join(_FROM.values()),
     ),
-)(
-    lambda spark, sf: tables.union_feeds(
-        *[
-            df.agg(F.count("*").alias("n_rows"), F.countDistinct(k).alias("n_keys")).select(F.lit(t).alias("feed"), "n_rows", "n_keys")
-            for t, df, k in [
-                *[(t, view(spark, sf, t), _ID.get(t, "company_id")) for t in _FEEDS],
-                ("merchant_mapping", simple_mapping(spark, sf), "raw"),
-            ]
-        ]
-    )
 )
+def _(spark, sf):
+    """Content of all six declared tables, scanned from CSV files by the reader."""
+    names = simple_mapping(spark, sf).select("raw")
+    feeds = {**enrichment(spark, sf), "merchant_mapping": scanned(spark, names, "merchant_mapping")}
+    parts = [spark.sql(_content(t, "{feed}").replace("{text}", "STRING"), feed=df) for t, df in feeds.items()]
+    return tables.union_feeds(*parts)
+
+
 query(
     "parse_dates",
     oracle("SELECT company_id, merchant_name, transaction_date FROM transactions", "company_id merchant_name transaction_date", uses="transactions"),

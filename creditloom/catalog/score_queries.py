@@ -163,7 +163,7 @@ def company_scores(spark, sf, expression=_PRIMARY):
     return view(spark, sf, "companies").select("company_id", "industry", F.expr(expression).alias("p"))
 
 
-FEATURES = [f for f in prep.NUMERIC_FEATURES if f not in ("num_shareholders", "share_capital", "mortgages_count")]
+FEATURES = list(prep.NUMERIC_FEATURES)
 cte(
     "importances",
     "",

@@ -6,11 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.operators.txn_features import KEYS, as_of_rows, spine_of
-from creditloom.plans.ranks import row_positions
 
 DECAY_DAYS = 30.0
-# Reviews of one company are ordered day by day and, inside a day, in blocks of ids.
-ID_BLOCK = 1 << 22
 REGISTRY = ["number_of_officers", "number_of_shareholders", "share_capital", "mortgages_count", "charges_count"]
 REGISTRY_NAMES = ["num_officers", "num_shareholders", "share_capital", "mortgages_count", "charges_count"]
 
@@ -19,24 +16,40 @@ def _days_ago(date: str) -> Column:
     return F.datediff("as_of_date", date)
 
 
-def _positioned(rows: DataFrame, date: str, identifier: str) -> DataFrame:
-    """Order number 0.. by (date, id) for each company, counted block by block."""
-    blocked = rows.withColumn("_block", F.floor(F.col(identifier) / ID_BLOCK))
-    return row_positions(blocked, [date, identifier], [date, "_block"], KEYS, name="position").withColumn(
-        "at", (F.col("position") - 1).cast("double")
-    )
+def _counted(rows: DataFrame, date: str, value: str) -> DataFrame:
+    """Distinct (date, value) of each company with its count ``c`` and what a trend needs.
+
+    Rows are numbered 0.. by (date, value); equal rows are interchangeable, so c of them from
+    number s on enter with the sums of s .. s + c - 1.  x, xx and xy are the sums of numbers,
+    of their squares and of number times value; rows without a value have a number only.
+    """
+    counts = rows.groupBy(*KEYS, date, value).agg(F.count("*").alias("c"))
+    before = Window.partitionBy(*KEYS).orderBy(date, value).rowsBetween(Window.unboundedPreceding, -1)
+    s, c = F.coalesce(F.sum("c").over(before), F.lit(0)).cast("double"), F.col("c").cast("double")
+    counts = counts.withColumn("_s", s)
+    x = c * F.col("_s") + c * (c - 1) / 2
+    xx = c * F.col("_s") * F.col("_s") + F.col("_s") * c * (c - 1) + (c - 1) * c * (2 * c - 1) / 6
+    y = F.col(value).cast("double")
+    there = lambda e: F.when(y.isNotNull(), e).otherwise(F.lit(0.0))
+    return counts.withColumns({"k": there(c), "x": there(x), "xx": there(xx), "y": there(c * y), "xy": there(x * y)}).drop("_s")
+
+
+def _slope() -> Column:
+    """Least-squares slope from the sums of ``_counted``; null without two numbers."""
+    k, x, xx, y, xy = (F.sum(n) for n in ("k", "x", "xx", "y", "xy"))
+    return F.try_divide(k * xy - x * y, k * xx - x * x)
 
 
 def sentiment_features(reviews: DataFrame, as_of) -> DataFrame:
-    """Decayed mean sentiment, its trend in (date, id) order, and reviews a month."""
-    rows = _positioned(as_of_rows(reviews, as_of, "review_date"), "review_date", "review_id")
-    weight = F.exp(-_days_ago("review_date") / F.lit(DECAY_DAYS))
+    """Decayed mean sentiment, its trend in (date, score) order, and reviews a month."""
+    rows = _counted(as_of_rows(reviews, as_of, "review_date"), "review_date", "sentiment_score")
+    weight = F.col("c") * F.exp(-_days_ago("review_date") / F.lit(DECAY_DAYS))
     stats = rows.groupBy(*KEYS).agg(
-        F.count("*").alias("n"),
+        F.sum("c").alias("n"),
         F.sum(F.col("sentiment_score") * weight).alias("weighted"),
         F.sum(weight).alias("weights"),
-        F.regr_slope("sentiment_score", "at").alias("slope"),
-        F.count_if(_days_ago("review_date") <= 90).alias("recent"),
+        _slope().alias("slope"),
+        F.sum(F.when(_days_ago("review_date") <= 90, F.col("c")).otherwise(0)).alias("recent"),
     )
     enough = F.col("n") >= 3
     return stats.select(
@@ -57,14 +70,16 @@ def rating_features(reviews: DataFrame, as_of) -> DataFrame:
 
 
 def headcount_features(headcount: DataFrame, as_of) -> DataFrame:
-    """Relative headcount growth (from 4 points) and latest headcount (from 2)."""
-    rows = _positioned(as_of_rows(headcount, as_of, "scrape_date"), "scrape_date", "scrape_id")
-    value = F.col("headcount_estimate").cast("double")
+    """Relative headcount growth (from 4 points) and latest headcount (from 2).
+
+    Several headcounts of one day count from the lowest to the highest.
+    """
+    rows = _counted(as_of_rows(headcount, as_of, "scrape_date"), "scrape_date", "headcount_estimate")
     stats = rows.groupBy(*KEYS).agg(
-        F.count("*").alias("n"),
-        F.regr_slope(value, F.col("at")).alias("slope"),
-        F.avg(value).alias("mean"),
-        F.max_by("headcount_estimate", F.struct("scrape_date", "scrape_id")).alias("latest"),
+        F.sum("c").alias("n"),
+        _slope().alias("slope"),
+        F.try_divide(F.sum("y"), F.sum("k")).alias("mean"),
+        F.max_by("headcount_estimate", F.struct("scrape_date", "headcount_estimate")).alias("latest"),
     )
     growth = F.when(F.col("mean") > 0, F.try_divide("slope", "mean")).otherwise(F.lit(0.0))
     return stats.select(
@@ -108,10 +123,15 @@ def vacancy_features(companies: DataFrame, vacancy: DataFrame, as_of) -> DataFra
 
 
 def registry_features(registry: DataFrame) -> DataFrame:
-    """Registry attributes, one row per company; attributes the registry lacks are null."""
+    """Registry attributes, one row per company; attributes the registry lacks are null.
+
+    Of several rows of a company the most complete counts, the highest in declared order
+    among equals.
+    """
     present = {c: F.col(c) if c in registry.columns else F.lit(None).cast("double") for c in REGISTRY}
     row = F.struct(*[present[c].alias(c) for c in REGISTRY])
-    one = registry.groupBy("company_id").agg(F.min(row).alias("r"))
+    known = sum((present[c].isNotNull().cast("int") for c in REGISTRY), F.lit(0))
+    one = registry.groupBy("company_id").agg(F.max_by(row, F.struct(known.alias("known"), row.alias("row"))).alias("r"))
     return one.select(
         "company_id", *[F.col(f"r.{c}").cast("double").alias(n) for c, n in zip(REGISTRY, REGISTRY_NAMES)]
     )

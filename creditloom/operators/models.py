@@ -91,6 +91,22 @@ def coefficients(spark: SparkSession, model: PipelineModel) -> DataFrame:
     )
 
 
+def loss_slopes(model: PipelineModel, train: DataFrame, label: str, weight: str) -> DataFrame:
+    """(feature, slope): derivative of the penalised mean loss for each coefficient.
+
+    Near zero everywhere at the optimum; the intercept is not penalised.
+    """
+    fitted, names = model.stages[-1], assembled_names(model)
+    scored = model.transform(train).withColumn("_x", vector_to_array(VECTOR))
+    residual = F.col(weight) * (vector_to_array("probability")[1] - F.col(label))
+    sums = scored.agg(
+        F.sum(weight).alias("w"), F.sum(residual).alias("r"), *[F.sum(residual * F.col("_x")[i]).alias(f"r{i}") for i in range(len(names))]
+    ).first()
+    penalty = fitted.getRegParam()
+    rows = [(n, sums[f"r{i}"] / sums["w"] + penalty * float(c)) for i, (n, c) in enumerate(zip(names, fitted.coefficients.toArray()))]
+    return train.sparkSession.createDataFrame([*rows, ("(intercept)", sums["r"] / sums["w"])], "feature STRING, slope DOUBLE")
+
+
 def linear_explanation(scaled_rows: DataFrame, weights: DataFrame, features, key: str = "company_id") -> DataFrame:
     """coefficient x scaled value of each feature, one row per (company, feature)."""
     long = prep.long_features(scaled_rows, features, [key])

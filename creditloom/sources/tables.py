@@ -61,7 +61,7 @@ def write_table(df: DataFrame, path: str, file_format: str = "parquet", mode: st
     """Write a table; tables with a feature date are partitioned by it."""
     writer = df.write.mode(mode).format(file_format)
     if file_format == "csv":
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if "feature_date" in df.columns:
         writer = writer.partitionBy("feature_date")
     writer.save(path)

@@ -207,8 +207,8 @@ def test_no_truth(spark):
 
 
 def test_review_counts(spark):
-    rows = [(f"n{n}", i, DAY - dt.timedelta(days=10 * (n - i)), 0.1 * i) for n in (2, 3, 5, 6) for i in range(n)]
-    reviews = spark.createDataFrame(rows, "company_id STRING, review_id BIGINT, review_date DATE, sentiment_score DOUBLE")
+    rows = [(f"n{n}", DAY - dt.timedelta(days=10 * (n - i)), 0.1 * i) for n in (2, 3, 5, 6) for i in range(n)]
+    reviews = spark.createDataFrame(rows, "company_id STRING, review_date DATE, sentiment_score DOUBLE")
     got = {r["company_id"]: r for r in alt_features.sentiment_features(reviews, str(DAY)).collect()}
     assert got["n2"]["google_sentiment_mean"] is None and got["n2"]["google_sentiment_trend"] is None
     assert got["n3"]["google_sentiment_trend"] == 0.0 and got["n5"]["google_sentiment_trend"] == 0.0
@@ -217,8 +217,8 @@ def test_review_counts(spark):
 
 
 def test_headcount_counts(spark):
-    rows = [(f"n{n}", i, DAY - dt.timedelta(days=30 * (n - i)), 10 + i) for n in (1, 2, 3, 4) for i in range(n)]
-    heads = spark.createDataFrame(rows, "company_id STRING, scrape_id BIGINT, scrape_date DATE, headcount_estimate INT")
+    rows = [(f"n{n}", DAY - dt.timedelta(days=30 * (n - i)), 10 + i) for n in (1, 2, 3, 4) for i in range(n)]
+    heads = spark.createDataFrame(rows, "company_id STRING, scrape_date DATE, headcount_estimate INT")
     got = {r["company_id"]: (r["headcount_growth_rate"], r["headcount_latest"]) for r in alt_features.headcount_features(heads, str(DAY)).collect()}
     assert got["n1"] == (None, None) and got["n2"] == (None, 11) and got["n3"] == (None, 12)
     assert got["n4"][0] == pytest.approx(1 / 11.5) and got["n4"][1] == 13
