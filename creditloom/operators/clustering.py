@@ -139,15 +139,11 @@ def _first_groups(found: DataFrame, threshold: float) -> DataFrame:
 def _linked_names(names: DataFrame, eps: float) -> DataFrame:
     """(node, component) of the graph of pairs within ``eps``.
 
-    When some gram is frequent, groups found through single scores come first, and pairs
-    inside a group, which cannot change the components, are neither scored nor emitted.
+    Groups found through single scores come first, and pairs inside a group, which cannot
+    change the components, are neither scored nor emitted.
     """
     threshold = 1.0 - eps
     found = cut_lineage(postings(name_vectors(tfidf(names)), threshold))
-    longest = found.groupBy("gram").count().agg(F.max("count")).first()[0]
-    if not longest or longest <= CELL:
-        pairs = _meetings(found, threshold)
-        return connected_components(pairs.select(F.col("name_a").alias("u"), F.col("name_b").alias("v")))
     groups = cut_lineage(_first_groups(found, threshold))
     grouped = found.join(groups.withColumnRenamed("node", "name"), "name", "left").withColumn(
         "component", F.coalesce("component", "name")

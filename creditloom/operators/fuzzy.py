@@ -24,33 +24,35 @@ SALTS = 8
 def token_sort_ratio(a: Column, b: Column) -> Column:
     """Similarity 0..100 of two names after sorting their tokens."""
     left, right = token_sorted(a), token_sorted(b)
-    lcs = lcs_length(characters(left), position_masks(left), characters(right), position_masks(right))
+    lcs = lcs_length(characters(left), position_masks(right), F.length(right))
     return ratio_from_lcs(lcs, F.length(left), F.length(right))
 
 
 def _prepared(df: DataFrame, text: str, threshold: float) -> DataFrame:
-    """Sorted form, characters, masks and the characters that must meet a partner's."""
+    """Sorted form, its numbered characters and those of them that must meet a partner's."""
     form = F.col("_form")
     df = df.withColumn("_form", token_sorted(F.col(text)))
     length = F.length(form)
     share = threshold / 200.0
     shortest_partner = F.ceil(length * (share / (1.0 - share)) - 1e-9)
     needed = F.greatest(F.ceil((length + shortest_partner) * share - 1e-9), F.lit(1))
-    df = df.withColumns({"_chars": characters(form), "_masks": position_masks(form), "_bag": character_bag(form)})
-    return df.withColumn("_prefix", F.slice("_bag", 1, F.greatest(length - needed + 1, F.lit(0)).cast("int"))).drop("_bag")
+    df = df.withColumn("_bag", character_bag(form))
+    return df.withColumn("_prefix", F.slice("_bag", 1, F.greatest(length - needed + 1, F.lit(0)).cast("int")))
 
 
 def candidate_scores(names: DataFrame, dictionary: DataFrame, threshold: float) -> DataFrame:
     """(name, entry, entry_rank, score) for every pair that reaches ``threshold``.
 
     Characters are few, so posting lists are long: names are salted over ``SALTS`` parts and
-    the dictionary, the smaller side, is repeated once per part.
+    the dictionary, the smaller side, is repeated once per part.  A pair goes on only at its
+    first meeting and only if the characters that both have, an upper bound of the common
+    subsequence, are enough; the subsequence itself is computed for what is left.
     """
     share = threshold / 200.0
     left = _prepared(names.select("name"), "name", threshold).select(
         "name",
-        F.col("_chars").alias("a_chars"),
-        F.col("_masks").alias("a_masks"),
+        F.col("_form").alias("a_form"),
+        F.col("_bag").alias("a_bag"),
         F.col("_prefix").alias("a_prefix"),
         F.pmod(F.xxhash64("name"), F.lit(SALTS)).alias("salt"),
         F.explode("_prefix").alias("token"),
@@ -58,17 +60,18 @@ def candidate_scores(names: DataFrame, dictionary: DataFrame, threshold: float)
     right = _prepared(dictionary.select("entry", "entry_rank"), "entry", threshold).select(
         "entry",
         "entry_rank",
-        F.col("_chars").alias("b_chars"),
-        F.col("_masks").alias("b_masks"),
+        F.col("_form").alias("b_form"),
+        F.col("_bag").alias("b_bag"),
         F.col("_prefix").alias("b_prefix"),
         F.explode("_prefix").alias("token"),
     )
     right = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
-    len_a, len_b = F.size("a_chars"), F.size("b_chars")
-    feasible = F.least(len_a, len_b) >= F.lit(share) * (len_a + len_b) - 1e-9
+    len_a, len_b = F.size("a_bag"), F.size("b_bag")
+    least = F.lit(share) * (len_a + len_b) - 1e-9
     first_meeting = F.get(F.array_intersect("a_prefix", "b_prefix"), F.lit(0)) == F.col("token")
-    pairs = left.join(right, ["token", "salt"]).where(feasible & first_meeting)
-    lcs = lcs_length(F.col("a_chars"), F.col("a_masks"), F.col("b_chars"), F.col("b_masks"))
+    shared = F.size(F.array_intersect("a_bag", "b_bag"))
+    pairs = left.join(right, ["token", "salt"]).where((F.least(len_a, len_b) >= least) & first_meeting & (shared >= least))
+    lcs = lcs_length(characters(F.col("a_form")), position_masks(F.col("b_form")), len_b)
     return pairs.select("name", "entry", "entry_rank", ratio_from_lcs(lcs, len_a, len_b).alias("score")).where(
         F.col("score") >= threshold
     )
