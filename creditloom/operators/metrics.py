@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from creditloom.functions.binning import edges_at_or_below, edges_below, unit_edges
 from creditloom.operators.profile import histogram
 from creditloom.plans.ranks import exact_quantiles, running_totals
+from creditloom.session import cut_lineage
 
 
 def tallies(scores: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
@@ -27,9 +28,13 @@ def cumulative(scores: DataFrame, y: str = "y", p: str = "p", previous: bool = F
 
 def rank_metrics(scores: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """AUC (ties count half), Gini and KS in one row."""
+    return _rank_metrics(cumulative(scores, y, p))
+
+
+def _rank_metrics(counted: DataFrame) -> DataFrame:
     d = lambda c: F.col(c).cast("double")
     below = d("cum_n0") - d("n0")
-    one = cumulative(scores, y, p).agg(
+    one = counted.agg(
         F.sum(d("n1") * (below + d("n0") / 2)).alias("wins"),
         F.max(F.abs(F.try_divide(d("cum_n1"), d("all_n1")) - F.try_divide(d("cum_n0"), d("all_n0")))).alias("gap"),
         F.max(d("all_n1")).alias("n1"),
@@ -71,10 +76,19 @@ def decile_table(scores: DataFrame, y: str = "y", p: str = "p", n: int = 10) ->
 
 
 def metric_suite(scores: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    """One row: AUC, Gini, KS, Brier and calibration error."""
-    return rank_metrics(scores, y, p).withColumns(
-        {"brier_score": brier(scores, y, p).scalar(), "ece": calibration_error(scores, y, p).scalar()}
+    """One row: AUC, Gini, KS, Brier and calibration error.
+
+    All five follow from the distinct scores with their class counts, which are made once.
+    """
+    t = cut_lineage(tallies(scores.where(F.col(p).isNotNull() & F.col(y).isNotNull()), y, p))
+    n, score = F.col("n1") + F.col("n0"), F.col("p").cast("double")
+    squares = F.sum(F.col("n1") * F.pow(score - 1, 2) + F.col("n0") * F.pow(score, 2))
+    loss = t.agg(F.try_divide(squares, F.sum(n)).alias("brier_score"))
+    bins = t.groupBy(edges_at_or_below(score, unit_edges(10)).alias("bin")).agg(
+        F.sum(n).alias("n"), F.sum("n1").alias("hits"), F.sum(n * score).alias("total")
     )
+    gap = bins.agg(F.try_divide(F.sum(F.abs(F.col("hits") - F.col("total"))), F.sum("n")).alias("ece"))
+    return _rank_metrics(running_totals(t, "p", ["n1", "n0"])).withColumns({"brier_score": loss.scalar(), "ece": gap.scalar()})
 
 
 def roc_curve(scores: DataFrame, y: str = "y", p: str = "p") -> DataFrame:

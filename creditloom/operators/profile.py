@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.binning import money_bucket
 from creditloom.plans.ranks import exact_quantiles
+from creditloom.session import cut_lineage
 
 CORRELATED = [
     "cv_txn", "top_5_concentration", "active_days_ratio", "mean_txn", "std_txn",
@@ -27,28 +28,43 @@ def join_labels(transactions: DataFrame, labels: DataFrame) -> DataFrame:
     return transactions.join(labels.select("company_id", "defaulted", "default_date"), "company_id", "left")
 
 
-def counts_and_totals(transactions: DataFrame) -> DataFrame:
+def _totals() -> dict:
     amount, zero = F.col("amount"), F.lit(0).cast("decimal(18,2)")
-    return transactions.groupBy("company_id").agg(
-        F.count("*").alias("n_transactions"),
-        F.sum(amount).alias("total_volume"),
-        F.sum(F.when(amount > 0, amount).otherwise(zero)).alias("total_inflow"),
-        F.sum(F.when(amount < 0, amount).otherwise(zero)).alias("total_outflow"),
-    )
+    return {
+        "n_transactions": F.count("*"),
+        "total_volume": F.sum(amount),
+        "total_inflow": F.sum(F.when(amount > 0, amount).otherwise(zero)),
+        "total_outflow": F.sum(F.when(amount < 0, amount).otherwise(zero)),
+    }
 
 
-def moments(transactions: DataFrame) -> DataFrame:
-    """Mean, sample deviation, their ratio, population skewness and excess kurtosis."""
+def _moments() -> dict:
     amount = _double("amount")
-    stats = transactions.groupBy("company_id").agg(
-        F.avg(amount).alias("mean_txn"),
-        F.stddev_samp(amount).alias("std_txn"),
-        F.skewness(amount).alias("skewness"),
-        F.kurtosis(amount).alias("kurtosis"),
-    )
+    return {
+        "mean_txn": F.avg(amount),
+        "std_txn": F.stddev_samp(amount),
+        "skewness": F.skewness(amount),
+        "kurtosis": F.kurtosis(amount),
+    }
+
+
+def _by_company(transactions: DataFrame, measures: dict) -> DataFrame:
+    return transactions.groupBy("company_id").agg(*[v.alias(k) for k, v in measures.items()])
+
+
+def counts_and_totals(transactions: DataFrame) -> DataFrame:
+    return _by_company(transactions, _totals())
+
+
+def _with_cv(stats: DataFrame) -> DataFrame:
     return stats.withColumn("cv_txn", F.try_divide("std_txn", F.abs("mean_txn")))
 
 
+def moments(transactions: DataFrame) -> DataFrame:
+    """Mean, sample deviation, their ratio, population skewness and excess kurtosis."""
+    return _with_cv(_by_company(transactions, _moments()))
+
+
 def median_amount(transactions: DataFrame) -> DataFrame:
     found = exact_quantiles(
         transactions.select("company_id", "amount"), "amount", [0.5], ["company_id"],
@@ -101,27 +117,34 @@ def latest_day(transactions: DataFrame) -> Column:
     return transactions.agg(F.max("transaction_date")).scalar()
 
 
-def top_concentration(transactions: DataFrame, k: int = 5) -> DataFrame:
-    """Share of the k largest absolute amounts; 0 when there is no volume."""
+def _largest(transactions: DataFrame, k: int) -> DataFrame:
+    """(company_id, top): sum of the k largest absolute amounts."""
     sizes = transactions.select("company_id", F.abs("amount").alias("size"))
     largest = Window.partitionBy("company_id").orderBy(F.desc("size"))
-    top = (
-        sizes.withColumn("at", F.row_number().over(largest)).where(F.col("at") <= k)
-        .groupBy("company_id").agg(F.sum("size").alias("top"))
-    )
-    totals = sizes.groupBy("company_id").agg(F.sum("size").alias("total"))
-    share = F.coalesce(F.try_divide(_double("top"), _double("total")), F.lit(0.0))
-    return totals.join(top, "company_id").select("company_id", share.alias(f"top_{k}_concentration"))
+    ranked = sizes.withColumn("at", F.row_number().over(largest)).where(F.col("at") <= k)
+    return ranked.groupBy("company_id").agg(F.sum("size").alias("top"))
+
+
+def _share_of_top(k: int) -> Column:
+    return F.coalesce(F.try_divide(_double("top"), _double("total")), F.lit(0.0)).alias(f"top_{k}_concentration")
+
+
+def top_concentration(transactions: DataFrame, k: int = 5) -> DataFrame:
+    """Share of the k largest absolute amounts; 0 when there is no volume."""
+    totals = _by_company(transactions, {"total": F.sum(F.abs("amount"))})
+    return totals.join(_largest(transactions, k), "company_id").select("company_id", _share_of_top(k))
 
 
 def entity_profiles(transactions: DataFrame, labels: DataFrame) -> DataFrame:
-    daily = daily_net(transactions)
+    """The whole profile.  The transactions are read once; what follows comes from their three
+    columns, from one aggregate of them and from the daily rows."""
+    rows = cut_lineage(transactions.select("company_id", "transaction_date", "amount"))
+    daily = cut_lineage(daily_net(rows))
+    stats = _with_cv(_by_company(rows, {**_totals(), **_moments(), "total": F.sum(F.abs("amount"))}))
+    stats = stats.join(_largest(rows, 5), "company_id").select("*", _share_of_top(5)).drop("top", "total")
     return (
-        counts_and_totals(transactions)
-        .join(moments(transactions), "company_id")
-        .join(median_amount(transactions), "company_id")
-        .join(day_stats(daily, latest_day(transactions)), "company_id")
-        .join(top_concentration(transactions), "company_id")
+        stats.join(median_amount(rows), "company_id")
+        .join(day_stats(daily, latest_day(daily)), "company_id")
         .join(labels.select("company_id", "defaulted"), "company_id", "left")
     )
 

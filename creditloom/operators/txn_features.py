@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.binning import money_bucket
 from creditloom.plans.ranks import exact_quantiles
+from creditloom.session import cut_lineage
 
 KEYS = ["company_id", "as_of_date"]
 MIN_HISTORY = 10
@@ -246,11 +247,17 @@ def median_amount(transactions: DataFrame, as_of) -> DataFrame:
 def stability_vector(
     transactions: DataFrame, as_of, companies: DataFrame | None = None, mapping: DataFrame | None = None
 ) -> DataFrame:
-    """All features for every company of the spine; null where the history is too short."""
+    """All features for every company of the spine; null where the history is too short.
+
+    The transactions are read once: four of their columns are written, and the payee flows,
+    which are ranked and summed, are written with their names already mapped.
+    """
     n = F.col("n_transactions")
+    transactions = cut_lineage(transactions.select("company_id", "transaction_date", "amount", "merchant_name"))
+    flows = cut_lineage(payee_flows(transactions, as_of, mapping))
     features = (
         calendar_features(daily_flows(transactions, as_of))
-        .join(payee_features(payee_flows(transactions, as_of, mapping)), KEYS)
+        .join(payee_features(flows), KEYS)
         .join(median_amount(transactions, as_of), KEYS)
         .withColumn("median_txn_amount", guarded(F.col("median_all"), n))
         .select(*KEYS, *FEATURES)
