@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from creditloom.catalog.fixtures import cte
 from creditloom.catalog.name_queries import simple_mapping
 from creditloom.catalog.registry import oracle, query
 from creditloom.operators import store
@@ -27,24 +28,53 @@ def _(spark, sf):
     return feeds.append_to_files(unique, feeds.work_folder(spark, "dedup"))
 
 
+# Arrivals: the events come in three files by their date; every 50th event of the first one is
+# late and only comes with a fourth.
+_ARRIVAL = (
+    "CASE WHEN ts < TIMESTAMP '2024-01-11' THEN CASE WHEN event_id % 50 = 0 THEN 3 ELSE 0 END "
+    "WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END"
+)
+_IN_ORDER = "CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END"
+
+
+def _arrivals(spark, sf, arrival, name):
+    """The events as one file for each arrival, read as a stream with a file a micro-batch."""
+    folder = feeds.work_folder(spark, f"{name}-arrivals")
+    events = spark.read.parquet(f"{sf}/events.parquet").withColumn("_at", F.expr(arrival))
+    for k in range(4):
+        events.where(F.col("_at") == k).drop("_at").coalesce(1).write.mode("append").parquet(folder)
+    return feeds.event_stream(spark, folder, pattern="*.parquet", files_at_once=1)
+
+
+# A late row counts only if its day was still open: its end has to lie behind the watermark,
+# a day before the newest event of the earlier arrivals.
+cte("arrived", "", f"SELECT *, {_ARRIVAL} AS arrival FROM events")
+cte(
+    "in_time",
+    "arrived",
+    "SELECT a.* FROM arrived a JOIN (SELECT k, (SELECT max(ts) FROM arrived WHERE arrival < k) - INTERVAL 1 DAY AS mark FROM range(0, 4) r(k)) w "
+    "ON w.k = a.arrival WHERE w.mark IS NULL OR date_trunc('day', a.ts) + INTERVAL 1 DAY > w.mark",
+)
+
+
 def _daily(spark, sf):
-    stream = feeds.daily_activity(feeds.event_stream(spark, sf))
+    stream = feeds.daily_activity(_arrivals(spark, sf, _ARRIVAL, "daily"))
     return feeds.latest_results(stream, feeds.work_folder(spark, "daily"), ["user_id", "day"])
 
 
 query(
     "st_tumbling",
     oracle(
-        "SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY 1, 2",
-        "user_id day n", "total",
+        "SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM in_time GROUP BY 1, 2",
+        "user_id day n", "total", uses="in_time",
     ),
 )(_daily)
 query(
     "st_sliding",
     oracle(
         "SELECT user_id, CAST(d - CAST(g AS INT) AS DATE) AS window_start, CAST(sum(n) AS BIGINT) AS n FROM ("
-        "SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY 1, 2) x CROSS JOIN range(0, 90) r(g) GROUP BY 1, 2",
-        "user_id window_start n",
+        "SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n FROM in_time GROUP BY 1, 2) x CROSS JOIN range(0, 90) r(g) GROUP BY 1, 2",
+        "user_id window_start n", uses="in_time",
     ),
 )(lambda spark, sf: feeds.sliding_activity(_daily(spark, sf)))
 
@@ -52,17 +82,19 @@ query(
 @query(
     "st_session",
     oracle(
-        "SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + 21600000000 AS end_us, count(*) AS n FROM ("
+        "SELECT * FROM (SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + 21600000000 AS end_us, count(*) AS n FROM ("
         "SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM ("
-        "SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOURS THEN 0 ELSE 1 END AS fresh FROM events) a) b GROUP BY user_id, session",
+        "SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOURS THEN 0 ELSE 1 END AS fresh FROM events) a) b GROUP BY user_id, session) s "
+        "WHERE end_us <= (SELECT epoch_us(max(ts)) - 86400000000 FROM events)",
         "user_id start_us end_us n",
     ),
 )
 def _(spark, sf):
-    stream = feeds.sessions(feeds.event_stream(spark, sf)).select(
+    """Sessions that the watermark has closed; their state is gone and each is written once."""
+    stream = feeds.sessions(_arrivals(spark, sf, _IN_ORDER, "session")).select(
         "user_id", F.unix_micros("session_start").alias("start_us"), F.unix_micros("session_end").alias("end_us"), "n"
     )
-    return feeds.latest_results(stream, feeds.work_folder(spark, "session"), ["user_id", "start_us"], mode="complete")
+    return feeds.append_to_files(stream, feeds.work_folder(spark, "session"))
 
 
 @query(

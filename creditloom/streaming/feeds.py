@@ -25,9 +25,17 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/streams/{name}-{uuid.uuid4().hex}"
 
 
-def event_stream(spark: SparkSession, folder: str, ddl: str = EVENT_DDL, pattern: str = "events.parquet") -> DataFrame:
-    """Typed stream scan; a watermark needs a zoned timestamp, so ``ts`` is cast."""
-    stream = spark.readStream.schema(ddl).option("pathGlobFilter", pattern).parquet(folder)
+def event_stream(
+    spark: SparkSession, folder: str, ddl: str = EVENT_DDL, pattern: str = "events.parquet", files_at_once: int | None = None
+) -> DataFrame:
+    """Typed stream scan; a watermark needs a zoned timestamp, so ``ts`` is cast.
+
+    ``files_at_once`` bounds the files of a micro-batch, oldest first.
+    """
+    reader = spark.readStream.schema(ddl).option("pathGlobFilter", pattern)
+    if files_at_once:
+        reader = reader.option("maxFilesPerTrigger", files_at_once)
+    stream = reader.parquet(folder)
     return stream.withColumn("ts", F.col("ts").cast("timestamp")) if "ts" in stream.columns else stream
 
 
@@ -43,7 +51,7 @@ def append_to_files(stream: DataFrame, folder: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/data")
 
 
-def latest_results(stream: DataFrame, folder: str, keys, mode: str = "update") -> DataFrame:
+def latest_results(stream: DataFrame, folder: str, keys) -> DataFrame:
     """Run an aggregation and return the newest row for each key.
 
     Every micro-batch writes its changed rows under its own number, so replaying a batch
@@ -55,15 +63,12 @@ def latest_results(stream: DataFrame, folder: str, keys, mode: str = "update") -
         batch.write.mode("overwrite").parquet(f"{folder}/data/batch={number}")
 
     query = (
-        stream.writeStream.outputMode(mode).foreachBatch(save)
+        stream.writeStream.outputMode("update").foreachBatch(save)
         .option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start()
     )
     query.awaitTermination()
     rows = spark.read.option("basePath", f"{folder}/data").parquet(f"{folder}/data")
     keys = list(keys)
-    if mode == "complete":
-        newest = rows.agg(F.max("batch")).scalar()
-        return rows.where(F.col("batch") == newest).drop("batch")
     rest = [c for c in rows.columns if c not in keys and c != "batch"]
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_row")).select(*keys, "_row.*")
 
