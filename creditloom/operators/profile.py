@@ -190,13 +190,13 @@ def validation_checks(transactions: DataFrame, profiles: DataFrame) -> DataFrame
 def histogram(df: DataFrame, value: str, n_bins: int, by: str | None = None) -> DataFrame:
     """Equal-width bins over each class's own range; the last bin is closed.
 
-    The range is one row per class, joined as a broadcast: classes are few by definition.
+    The range is one row per class.
     """
     keys = [by] if by else []
     data = df.where(F.col(value).isNotNull()).select(*keys, _double(value).alias("v"))
     ranges = data.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n"))
     if by:
-        placed = data.join(F.broadcast(ranges), keys)
+        placed = data.join(ranges, keys)
     else:
         placed = data.withColumns({c: ranges.select(c).scalar() for c in ("lo", "hi", "n")})
     flat = F.col("hi") == F.col("lo")

@@ -62,14 +62,11 @@ def category_dimension(spark: SparkSession) -> DataFrame:
 
 
 def prior_default_rate(companies: DataFrame, industries: DataFrame) -> DataFrame:
-    """Industry base rate plus loadings for young companies and large loans.
-
-    The industry dimension is a short list, so it is broadcast.
-    """
+    """Industry base rate plus loadings for young companies and large loans."""
     age = F.col("company_age_months")
     loading = F.when(age < YOUNG_MONTHS, 0.08).when(age < SETTLING_MONTHS, 0.04).otherwise(0.0)
     loan = F.when(F.col("loan_amount") > LARGE_LOAN, 0.02).otherwise(0.0)
-    return companies.join(F.broadcast(industries.select("industry", "base_rate")), "industry", "left").select(
+    return companies.join(industries.select("industry", "base_rate"), "industry", "left").select(
         "company_id", "industry", (F.col("base_rate") + loading + loan).alias("prior_pd")
     )
 
@@ -124,7 +121,7 @@ def expected_daily_counts(
     observed = transactions.groupBy("company_id", "transaction_date").agg(F.count("*").alias("observed"))
     described = (
         companies.select("company_id", "industry")
-        .join(F.broadcast(industries), "industry")
+        .join(industries, "industry")
         .join(labels.select("company_id", "default_date"), "company_id", "left")
     )
     days = F.datediff("default_date", "transaction_date")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from creditloom.session import cut_lineage
 
+# A guard against a fault, not a limit: rounds grow with the logarithm of the nodes, so even
+# 2^60 nodes need fewer.
 MAX_ROUNDS = 100
 
 

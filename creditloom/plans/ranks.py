@@ -21,9 +21,8 @@ def add_bucket(df: DataFrame, value: str, groups=(), bucket: Column | None = Non
 
     With ``bucket`` given (a monotone expression of the value) nothing is read.  Otherwise
     the cut points are approximate quantiles of the values in ``df``; the approximation
-    only affects how even the buckets are.  In that mode the groups must be few (feature
-    names, classes), because their cut points are broadcast: at most one array of
-    ``N_BUCKETS`` numbers for each group.
+    only affects how even the buckets are.  There is one array of ``N_BUCKETS`` cut points for
+    each group; whether it is broadcast is left to its size.
     """
     if bucket is not None:
         return df.withColumn(BUCKET, bucket)
@@ -31,7 +30,7 @@ def add_bucket(df: DataFrame, value: str, groups=(), bucket: Column | None = Non
     cuts = F.percentile_approx(F.col(value), probabilities, 10 * N_BUCKETS)
     if groups:
         bounds = df.groupBy(*groups).agg(cuts.alias("_bounds"))
-        joined = df.join(F.broadcast(bounds), list(groups))
+        joined = df.join(bounds, list(groups))
     else:
         joined = df.withColumn("_bounds", df.agg(cuts.alias("_bounds")).scalar())
     return joined.withColumn(
