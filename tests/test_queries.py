@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB text on the smallest tables."""
+"""Every registered query against its DuckDB text on the smallest tables that give rows."""
 
 import pytest
 
@@ -6,7 +6,7 @@ import __spark_entry__ as driver
 from creditloom.catalog import ORACLES, QUERIES
 from tests.check import compare, duck
 
-SF = "/root/testdata/sf0.001"
+SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +17,8 @@ def con():
 @pytest.mark.parametrize("key", list(QUERIES))
 def test_query(spark, con, key):
     verdict = compare(spark, con, key, SF, QUERIES, ORACLES)
+    if verdict == "EMPTY but equal":
+        verdict = compare(spark, duck(LARGER), key, LARGER, QUERIES, ORACLES)
     assert verdict.startswith("ok" if key in ORACLES else "rows only"), verdict
 
 
