@@ -15,6 +15,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditloom.llm.text import small_batches
+from creditloom.session import cut_lineage
+
 # Edits allowed for each character of an item.
 ERROR_RATE = 0.06
 # Items with fewer characters, after normalising, say too little to name a leak.
@@ -136,6 +139,7 @@ def find_leaks(
     documents.  Its whole size thus never matters to memory.
     """
     spark = docs.sparkSession
+    small_batches(docs)
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).where(F.col("text").isNotNull())
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
@@ -172,4 +176,5 @@ def _search(spark, items: list[tuple[int, str]], error_rate: float):
 def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; rows with a null id stay."""
     leaks = find_leaks(docs, benchmark, doc_id, text, **options).select(F.col(doc_id).alias("_leak")).distinct()
+    leaks = cut_lineage(leaks)  # its size decides how docs are joined
     return docs.join(leaks, docs[doc_id] == leaks["_leak"], "left_anti")

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditloom.llm.text import small_batches
+
 # HTML element classes.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
@@ -436,4 +438,5 @@ def extract(pages: DataFrame, page_id: str = "page_id", page: str = "html") -> D
         for batch in batches:
             yield pd.DataFrame([render(p) for p in batch], columns=["text", "n_blocks", "n_items", "n_cells", "n_hidden"])
 
+    small_batches(pages)
     return pages.select(F.col(page_id).alias("page_id"), read(F.col(page)).alias("r")).select(F.col("page_id").alias(page_id), "r.*")

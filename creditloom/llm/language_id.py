@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from creditloom.llm.text import small_batches
+
 UNKNOWN = "und"
 BUCKETS = 1 << 14
 SMOOTHING = 0.5
@@ -204,6 +206,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
             at = np.flatnonzero(row)
             yield pd.DataFrame({"lang": name, "slot": at, "n": row[at]})
 
+    small_batches(docs)
     known = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     counts = known.mapInPandas(count, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     counts = counts.groupBy("lang").agg(F.collect_list(F.struct("slot", "n")).alias("counts"))

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditloom.llm.text import small_batches
+
 # Phrases whose every place counts, and their labels.
 PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 
@@ -187,6 +189,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=
 
     The templates are few and fixed; each task builds the automaton from them once.
     """
+    small_batches(docs)
     wanted = [(label, words(wording)) for label, wording in (TEMPLATES if templates is None else templates)]
     phrases = [(words(p), label) for p, label in PHRASES]
 

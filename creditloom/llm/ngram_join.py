@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from creditloom.llm.text import folded_words, shingle_hashes, word_memo
+from creditloom.llm.text import folded_words, shingle_hashes, small_batches, word_memo
 from creditloom.plans.components import connected_components
 from creditloom.session import cut_lineage
 
@@ -42,8 +42,8 @@ MOST_FREQUENT = 1 << 20
 FREQUENT_FROM = 24
 # Columns with more rows than this go by pivots and row blocks, not by all their pairs.
 LONG_COLUMN = 64
-ROW_BLOCK = 1024
-COLUMN_BLOCK = 4096
+ROW_BLOCK = 512
+COLUMN_BLOCK = 2048
 BROADCAST_ROWS = 200_000
 
 CUT = int(COUNTED_SHARE * 2**64)
@@ -317,6 +317,7 @@ def ngram_components(
     alone has a null component_id.  Other columns are not looked at.  An empty table gives no
     rows.  Sets are compared by 64-bit hashes of their shingles.
     """
+    small_batches(docs)
     frequent = _frequent(_low_columns(docs, text, width))
     rows = cut_lineage(_rows(docs, doc_id, text, width, percent, frequent))
     classes = rows.where("n > 0").groupBy("fp").agg(
@@ -357,8 +358,8 @@ def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     Rows keep all their columns.  Rows with a null id and repeated rows stay: an id names the
     document to keep, and these carry none or the same one.
     """
-    groups = ngram_components(docs, doc_id, text, percent=percent)
+    groups = cut_lineage(ngram_components(docs, doc_id, text, percent=percent))
     gone = groups.where(F.col(doc_id) != F.col("component_id")).select(F.col(doc_id).alias("_gone")).distinct()
     kept = groups.where(F.col(doc_id) == F.col("component_id")).select(F.col(doc_id).alias("_gone"))
-    gone = gone.join(kept, "_gone", "left_anti")
+    gone = cut_lineage(gone.join(kept, "_gone", "left_anti"))  # its size decides how docs are joined
     return docs.join(gone, docs[doc_id] == gone["_gone"], "left_anti")

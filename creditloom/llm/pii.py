@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditloom.llm.text import small_batches
 from creditloom.session import cut_lineage
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
@@ -257,6 +258,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: flo
     no spans; null ids stay null; repeated rows are scanned, and counted, each; an empty table
     gives no rows; other columns are not looked at.
     """
+    small_batches(docs)
     found = cut_lineage(candidates(docs, doc_id, text))
     shared = docs.sparkSession.sparkContext.broadcast(classify(found))
 

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from creditloom.llm.text import small_batches
 from creditloom.session import cut_lineage
 
 # Good documents of a stratum that all rules together may reject, and the risk of an error.
@@ -209,6 +210,7 @@ def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     passes the base.  Null ids have no label; repeated rows are judged each; an empty table
     gives no rows; other columns are not looked at.
     """
+    small_batches(docs)
     rows = cut_lineage(measured(docs, doc_id, text, stratum))
     cutoffs = choose_cutoffs(rows, labels, doc_id, quality)
     of_stratum = cutoffs.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))

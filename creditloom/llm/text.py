@@ -12,6 +12,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> None:
+    """Let tasks hand Python no more than so many rows at a time, to bound the memory of both."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def folded_words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, as UTF-8; none for null.
 
@@ -24,7 +29,7 @@ def folded_words(text: str | None) -> list[bytes]:
 class Remembered(dict):
     """A bounded memo of a pure function; it starts anew when full."""
 
-    def __init__(self, function, limit: int = 300_000):
+    def __init__(self, function, limit: int = 100_000):
         super().__init__()
         self.function, self.limit = function, limit
 

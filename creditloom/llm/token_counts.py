@@ -19,7 +19,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.text import Remembered
+from creditloom.llm.text import Remembered, small_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pre-token pattern of the vocabulary.
@@ -267,6 +267,7 @@ def count_cleaned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", v
     zero counts; null ids stay null; repeated rows are counted each; an empty table gives no
     rows; other columns are not looked at.
     """
+    small_batches(docs)
     rows = with_cleaning_edits(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
     out = rows.select(F.col("doc_id").alias(doc_id), edited_counts(F.col("text"), F.col("edits"), vocabulary).alias("c"))
     return out.select(doc_id, "c.*").drop("text_after")
