@@ -1,6 +1,7 @@
 """Runnable queries over the given tables, each with a DuckDB text where SQL can express it."""
 
 from creditloom.catalog import (  # noqa: F401
+    chain_queries,
     feature_queries,
     model_queries,
     name_queries,

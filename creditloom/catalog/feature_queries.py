@@ -156,10 +156,9 @@ _feature_query("tf_recurring_revenue_ratio", ["recurring_revenue_ratio"], _payee
 _feature_query("tf_supplier_hhi", ["supplier_hhi"], _payee_features)
 
 
-def stability(spark, sf):
-    return txn.stability_vector(
-        _transactions(spark, sf), AS_OF, view(spark, sf, "companies"), simple_mapping(spark, sf)
-    )
+def stability(spark, sf, mapping=None):
+    mapping = simple_mapping(spark, sf) if mapping is None else mapping
+    return txn.stability_vector(_transactions(spark, sf), AS_OF, view(spark, sf, "companies"), mapping)
 
 
 _REAL = [f for f in txn.FEATURES if f not in _COUNTS]
@@ -338,15 +337,15 @@ cte(
 cte("training", "vectors default_labels", "SELECT v.*, l.defaulted, l.application_date FROM vectors v LEFT JOIN default_labels l USING (company_id)")
 
 
-def vectors(spark, sf):
+def vectors(spark, sf, mapping=None):
     """Both families under one feature date (the sources cover different years)."""
     other = alternative(spark, sf, REVIEW_AS_OF).withColumn("as_of_date", F.to_date(F.lit(AS_OF)))
-    return store.feature_vectors(stability(spark, sf), other)
+    return store.feature_vectors(stability(spark, sf, mapping), other)
 
 
-def training(spark, sf):
+def training(spark, sf, mapping=None):
     labels = view(spark, sf, "default_labels")
-    return store.attach_labels(vectors(spark, sf), labels).join(
+    return store.attach_labels(vectors(spark, sf, mapping), labels).join(
         labels.select("company_id", "application_date"), "company_id", "left"
     )
 

@@ -303,7 +303,13 @@ def _(spark, sf):
 
 
 # --- the whole cascade ------------------------------------------------------------------
-@query(
+def resolved(spark, sf):
+    return resolution.resolve_names(
+        names_of(spark, sf), view(spark, sf, "dictionary"), view(spark, sf, "overrides"), THRESHOLD, EPS
+    )
+
+
+query(
     "er_resolve",
     oracle(
         "SELECT n.raw, n.normalised, coalesce(o.canonical, b.entry, c.exemplar, n.normalised) AS canonical, "
@@ -323,11 +329,7 @@ def _(spark, sf):
             *cluster_tables("unmatched", "un"),
         ],
     ),
-)
-def _(spark, sf):
-    return resolution.resolve_names(
-        names_of(spark, sf), view(spark, sf, "dictionary"), view(spark, sf, "overrides"), THRESHOLD, EPS
-    )
+)(resolved)
 
 
 # A mapping without the similarity search: override, equal dictionary entry, or unknown.
@@ -462,6 +464,23 @@ def _(spark, sf):
     return resolution_eval.volume_coverage(view(spark, sf, "transactions"), partial)
 
 
+@query(
+    "ev_evaluate",
+    oracle(
+        f"SELECT method, avg({_HIT}) AS accuracy, count(*) AS n, (SELECT avg({_HIT}) FROM judged) AS overall_accuracy, (SELECT count(*) FROM judged) AS n_evaluated, "
+        "(SELECT avg(CAST(canonical <> normalised AS INT)) FROM judged) AS coverage, "
+        "(SELECT sum(CASE WHEN m.canonical IS NULL OR m.canonical <> m.raw THEN abs(CAST(t.amount AS DOUBLE)) ELSE 0 END) / sum(abs(CAST(t.amount AS DOUBLE))) "
+        "FROM transactions t LEFT JOIN quick_mapping m ON t.merchant_name = m.raw) AS volume_coverage FROM judged GROUP BY 1",
+        "method n n_evaluated", "accuracy overall_accuracy coverage volume_coverage", uses="judged transactions quick_mapping",
+    ),
+)
+def _(spark, sf):
+    """The combined evaluation, one row for each method."""
+    mapping = quick_mapping(spark, sf)
+    row = resolution_eval.evaluate(mapping, truth_of(spark, sf), view(spark, sf, "transactions"))
+    return row.select(F.inline("method_accuracy"), "overall_accuracy", "n_evaluated", "coverage", "volume_coverage")
+
+
 @query(
     "ev_truth_sample",
     oracle(
