@@ -1,8 +1,9 @@
 """Best dictionary entry for each name by token-sort similarity.
 
-The search is an equi-join on shared characters, not a product of names and entries:
-two texts whose similarity reaches the threshold must share many (numbered) characters, so
-they must share one among the rarest few of each.  The filter loses nothing.
+The search is an equi-join on shared characters: two texts whose similarity reaches the
+threshold must share many (numbered) characters, so they must share one among the rarest few
+of each.  The filter loses nothing.  Characters are few, so at a low threshold most names still
+meet most entries; what the filters spare is the scoring of pairs, more than the meeting.
 """
 
 from __future__ import annotations
