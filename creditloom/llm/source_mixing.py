@@ -3,7 +3,8 @@
 Iterative proportional fitting rakes the token totals of the cells (source, language, topic)
 to the three marginals.  A cell's weight is the product of one factor for each of its three
 values, so only three small factor tables change from cycle to cycle; the cells are written
-once.  Documents are then sampled by the weight of their cell.
+once.  Documents are then sampled by the weight of their cell, scaled to a declared size: cells
+that would be wanted more than once are kept whole and the rest is raked to what is left.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ AXES = ("source", "lang", "topic")
 TEMPERING = {"source": 0.7, "lang": 0.7, "topic": 0.8}
 MISSING = "(none)"
 CYCLES = 20
+# Share of the tokens that a sample is meant to hold.
+KEEP = 0.5
 TOLERANCE = 1e-10
 
 
@@ -83,6 +86,75 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], cycles: int = CYCLES,
     return out.select(*cells.columns, product.alias("factor"))
 
 
+def size_targets(cells: DataFrame, targets: dict[str, DataFrame], size: float) -> dict[str, DataFrame]:
+    """(axis, target, whole) for each axis: tokens wanted of every value, ``size`` in all.
+
+    A value with fewer tokens than its share of ``size`` is kept whole, and what it lacks is
+    dealt to the others by their shares.
+    """
+    out = {}
+    for a, shares in targets.items():
+        totals = cells.groupBy(a).agg(F.sum("tokens").alias("_t"))
+        rows = cut_lineage(shares.join(totals, a).select(a, F.col("target").alias("_share"), "_t"))
+        least, scale = -1, size
+        while True:
+            whole = F.col("_share") * scale >= F.col("_t")
+            n, taken, free = rows.agg(
+                F.sum(whole.cast("long")), F.sum(F.when(whole, F.col("_t")).otherwise(F.lit(0))), F.sum(F.when(~whole, F.col("_share")))
+            ).first()
+            if n == least or not free:
+                break
+            least, scale = n, (size - taken) / free
+        target = F.when(whole, F.col("_t").cast("double")).otherwise(F.col("_share") * scale)
+        out[a] = cut_lineage(rows.select(a, target.alias("target"), whole.alias("whole")))
+    return out
+
+
+def rake_to_size(
+    cells: DataFrame, targets: dict[str, DataFrame], size: float, cycles: int = CYCLES, tolerance: float = TOLERANCE
+) -> DataFrame:
+    """``cells`` (axes, tokens) with the column probability, in (0, 1].
+
+    A cell's probability is the product of its three factors, at most 1, and 1 in the values
+    that ``size_targets`` keeps whole.  After fitting, sum(tokens * probability) over the cells
+    of an axis value is its target, as nearly as ``cycles`` cycles bring it.  A step takes the
+    cells that are whole by now off the target and rakes the others to what is left; where they
+    alone are over the target, or all are whole, the factor follows target over current sum.
+    """
+    axes = list(targets)
+    base = cells.where("tokens > 0")
+    wanted = size_targets(base, targets, size)
+    for a in axes:
+        base = base.join(wanted[a].select(a, F.col("whole").alias(f"_{a}")), a)
+    whole = F.lit(False)
+    for a in axes:
+        whole = whole | F.col(f"_{a}")
+    base = cut_lineage(base.select(*cells.columns, whole.alias("whole")))
+    factors = {a: cut_lineage(wanted[a].select(a, "target", F.lit(1.0).alias(f"f_{a}"))) for a in axes}
+
+    def weighted() -> tuple[DataFrame, Column]:
+        rows, weight = base, F.lit(1.0)
+        for b in axes:
+            rows = rows.join(factors[b].select(b, f"f_{b}"), b)
+            weight = weight * F.col(f"f_{b}")
+        return rows, F.when(F.col("whole"), F.lit(1.0)).otherwise(F.least(weight, F.lit(1.0)))
+
+    for _ in range(cycles):
+        for a in axes:
+            rows, p = weighted()
+            kept, part = F.when(p >= 1, F.col("tokens")).otherwise(F.lit(0)), F.when(p < 1, F.col("tokens") * p).otherwise(F.lit(0.0))
+            sums = rows.groupBy(a).agg(F.sum(kept).cast("double").alias("_kept"), F.sum(part).alias("_part"))
+            left, old = F.col("target") - F.col("_kept"), F.col(f"f_{a}")
+            fresh = F.when((left > 0) & (F.col("_part") > 0), old * left / F.col("_part"))
+            fresh = fresh.otherwise(old * F.col("target") / (F.col("_kept") + F.col("_part")))
+            factors[a] = cut_lineage(factors[a].join(sums, a).select(a, "target", old.alias("_old"), fresh.alias(f"f_{a}")))
+        gap = factors[axes[-1]].agg(F.max(F.abs(F.col("_old") / F.col(f"f_{axes[-1]}") - 1))).first()[0] or 0.0
+        if gap < tolerance:
+            break
+    rows, p = weighted()
+    return rows.select(*cells.columns, p.alias("probability"))
+
+
 def uniform(doc_id: Column) -> Column:
     """A number in [0, 1) that depends on the id alone."""
     return F.conv(F.substr(F.md5(doc_id.cast("string").cast("binary")), F.lit(1), F.lit(12)), 16, 10).cast("double") / float(16**12)
@@ -96,14 +168,19 @@ def mix(
     lang: str = "lang",
     tempering: dict[str, float] | None = None,
     cycles: int = CYCLES,
+    keep: float | None = KEEP,
 ) -> DataFrame:
     """One row for each row of ``docs``: doc_id, source, lang, topic, n_tokens, factor,
     probability, sampled.
 
-    The tokens of the cells are raked to tempered marginals.  probability is the factor of the
-    document's cell over the largest factor, so that expected sampled tokens have the target
-    shares exactly and no document is wanted more than once; sampled compares it with a number
-    made from the id.  Null sources and languages form a value of their own, ``(none)``; null
+    The tokens of the cells are raked to tempered marginals.  The sample is expected to hold the
+    share ``keep`` of all tokens: probability is at most 1, cells that reach it are kept whole
+    and the others are raked to the rest, so that rare cells get what they have and do not set
+    the rate of the others.  A value with fewer tokens than its share is kept whole; see
+    ``marginals`` for the shares that were reached.  factor is probability over the expected
+    tokens.  With ``keep`` None, probability is the factor over the largest factor, so that the
+    rarest cell sets the size.  sampled compares probability with a number made from the id.
+    Null sources and languages form a value of their own, ``(none)``; null
     or empty texts have no tokens, factor and probability 0 and are not sampled; rows with a
     null id are not sampled; repeated rows count and are sampled alike; an empty table gives no
     rows; other columns are not looked at.
@@ -118,9 +195,16 @@ def mix(
     )
     rows = cut_lineage(rows)
     cells = cut_lineage(rows.groupBy(*AXES).agg(F.sum("n_tokens").alias("tokens")))
-    raked = cut_lineage(rake(cells, {a: tempered_targets(cells, a, tempering[a]) for a in AXES}, cycles))
-    most = raked.agg(F.max("factor")).first()[0]
-    raked = raked.select(*AXES, "factor", (F.col("factor") / F.lit(most)).alias("probability"))
+    targets = {a: tempered_targets(cells, a, tempering[a]) for a in AXES}
+    if keep is None:
+        raked = cut_lineage(rake(cells, targets, cycles))
+        most = raked.agg(F.max("factor")).first()[0]
+        raked = raked.select(*AXES, "factor", (F.col("factor") / F.lit(most)).alias("probability"))
+    else:
+        size = keep * (cells.agg(F.sum("tokens")).first()[0] or 0)
+        raked = cut_lineage(rake_to_size(cells, targets, size, cycles))
+        wanted = raked.agg(F.sum(F.col("tokens") * F.col("probability"))).first()[0]
+        raked = raked.select(*AXES, (F.col("probability") / F.lit(wanted)).alias("factor"), "probability")
     out = rows.join(raked, list(AXES), "left")
     p = F.when(F.col("n_tokens") > 0, F.coalesce("probability", F.lit(0.0))).otherwise(F.lit(0.0))
     f = F.when(F.col("n_tokens") > 0, F.coalesce("factor", F.lit(0.0))).otherwise(F.lit(0.0))
@@ -129,9 +213,27 @@ def mix(
     return out.withColumn("sampled", sampled)
 
 
+def marginals(mixed: DataFrame, tempering: dict[str, float] | None = None) -> DataFrame:
+    """(axis, value, tokens, target, reached) of what ``mix`` returns: the tempered share of each
+    value and its share of the expected sampled tokens."""
+    tempering = tempering or TEMPERING
+    out = None
+    for a in AXES:
+        sums = mixed.groupBy(a).agg(F.sum("n_tokens").alias("tokens"), F.sum(F.col("n_tokens") * F.col("probability")).alias("_p"))
+        sums = sums.where("tokens > 0")
+        flat = F.pow("tokens", F.lit(tempering[a]))
+        total, wanted = sums.agg(F.sum(flat), F.sum("_p")).first()
+        rows = sums.select(
+            F.lit(a).alias("axis"), F.col(a).alias("value"), "tokens", (flat / F.lit(total)).alias("target"), (F.col("_p") / F.lit(wanted)).alias("reached")
+        )
+        out = rows if out is None else out.union(rows)
+    return out
+
+
 def digest(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, lang, topic, n_tokens, probability to five digits, sampled) of ``mix``."""
-    return mix(docs).select("doc_id", *AXES, "n_tokens", F.round("probability", 5).alias("probability"), "sampled")
+    """(doc_id, source, lang, topic, n_tokens, probability to five digits, sampled) of ``mix``, as in
+    the SQL text: by the factor over the largest factor."""
+    return mix(docs, keep=None).select("doc_id", *AXES, "n_tokens", F.round("probability", 5).alias("probability"), "sampled")
 
 
 def oracle(cycles: int = CYCLES) -> str:

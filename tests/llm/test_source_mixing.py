@@ -52,3 +52,16 @@ def test_odd_rows(spark):
         assert not (r["sampled"] and (r["doc_id"] is None or not r["n_tokens"]))
     assert m.mix(odd_rows(spark).limit(0), cycles=1).collect() == []
     assert m.mix(odd_rows(spark).where(F.col("text").isNull()), cycles=1).count() == 1
+
+
+def test_a_rare_cell_does_not_set_the_rate(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "source", "lang")
+    tiny = spark.createDataFrame([(10**9, "one", "tiny source", "tiny language")], docs.schema)
+    rows = m.mix(docs.union(tiny)).toPandas()
+    share = (rows["n_tokens"] * rows["probability"]).sum() / rows["n_tokens"].sum()
+    assert share == pytest.approx(m.KEEP, abs=1e-4)
+    assert rows.set_index("doc_id")["probability"][10**9] == 1.0
+    reached = m.marginals(m.mix(docs.union(tiny))).toPandas()
+    large = reached[reached["tokens"] > 1]
+    assert (large["target"] - large["reached"]).abs().max() < 0.02
+    assert reached.groupby("axis")["reached"].sum().between(1 - 1e-9, 1 + 1e-9).all()
