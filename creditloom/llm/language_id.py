@@ -27,6 +27,11 @@ LEAST_SCRIPT_SHARE = 0.005
 # The score table takes 64 KB for each language and is shipped to the tasks.
 MOST_LANGUAGES = 1024
 SLICE = 1 << 20
+# A text fits if its letters score at most so many standard deviations of a learned letter under
+# their mean, and as many more over the root of the number of letters, for chance.
+MOST_BELOW = 2.0
+# Share of letters that must be in learned scripts.
+LEAST_KNOWN = 0.5
 
 # First code point of the blocks whose letters belong to a script.
 SCRIPT_RANGES = [
@@ -108,8 +113,14 @@ class Model:
         self.scores = np.log(smooth / smooth.sum(axis=1, keepdims=True)).T.astype(np.float32).copy()
         share = scripts / np.maximum(scripts.sum(axis=1, keepdims=True), 1)
         allowed = (share >= LEAST_SCRIPT_SHARE).T
+        self.unlearned = ~allowed.any(axis=1)
         allowed[~allowed.any(axis=1)] = True
         self.barred = np.where(allowed, 0, -1e4).astype(np.float32)
+        # Mean and deviation of the score of a learned letter, each scored without itself.
+        letters = np.maximum(grams.sum(axis=1, keepdims=True), 1)
+        alone = np.log(np.maximum(smooth - 1, SMOOTHING) / np.maximum(smooth.sum(axis=1, keepdims=True) - 1, 1))
+        self.mean = (grams * alone).sum(axis=1) / letters[:, 0]
+        self.deviation = np.sqrt((grams * (alone - self.mean[:, None]) ** 2).sum(axis=1) / letters[:, 0])
 
     def words(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of the words (runs of letters) and their score for each language."""
@@ -181,6 +192,31 @@ class Model:
             out.append((self.languages[best], float(letters[best] / letters.sum() * likely), spans))
         return out
 
+    def fits(self, texts: list[str | None]) -> list[tuple[float, float]]:
+        """(share of letters in learned scripts, fit) of each text.
+
+        fit is the mean, over the letters in learned scripts, of the score of the best path
+        under the mean of its language, in deviations of a learned letter, plus the part that
+        chance allows a text of that length.  It is at least -MOST_BELOW for texts that fit.
+        """
+        if not self.languages:
+            return [(0.0, -np.inf)] * len(texts)
+        found = [self.words(t or "") for t in texts]
+        out = []
+        for value, (start, end, score), path in zip(texts, found, self.paths([f[2] for f in found]), strict=True):
+            if not len(path):
+                out.append((0.0, -np.inf))
+                continue
+            known = ~self.unlearned[_letters()[_codes(value)[start]].astype(np.int64) - 1]
+            size = end - start
+            n, own = size[known].sum(), path[known]
+            if not n:
+                out.append((0.0, -np.inf))
+                continue
+            under = (score[known, own] - size[known] * self.mean[own]) / np.maximum(self.deviation[own], 1e-6)
+            out.append((float(n / size.sum()), float(under.sum() / n + MOST_BELOW / np.sqrt(n))))
+        return out
+
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Count trigrams and scripts of all rows with a text and a language.
@@ -263,12 +299,25 @@ def learn_and_identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     return rows.select(doc_id, "held_out", F.col("_found.lang").alias("lang_pred"), F.col("_found.score").alias("score"), spans.alias("spans"))
 
 
-def in_known_language(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", least_score: float = 0.25) -> DataFrame:
-    """Rows of ``docs`` whose text is in a learned language with at least ``least_score``.
+def in_known_language(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", least_known: float = LEAST_KNOWN, most_below: float = MOST_BELOW
+) -> DataFrame:
+    """Rows of ``docs`` whose text fits the learned languages.
 
-    Texts without letters (``und``) go, as do those that no language fits.  A text in two
-    languages stays.  All columns are kept as they are.
+    Texts without letters go, those with under ``least_known`` of their letters in scripts of
+    learned languages, and those whose other letters score over ``most_below`` deviations under
+    what the learned rows of their language score; see ``Model.fits``.  A text in several
+    learned languages stays.  All columns are kept as they are.
     """
     model = train(docs.where(~held_out(doc_id) & F.col(doc_id).isNotNull()), text, lang)
-    found = docs.select("*", identify(docs, model, text).alias("_language_found"))
-    return found.where(F.col("_language_found.score") >= least_score).drop("_language_found")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def fitting(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            values, parts = batch.tolist(), []
+            for low in range(0, len(values), 512):
+                parts += shared.value.fits(values[low : low + 512])
+            yield pd.Series([known >= least_known and fit >= -most_below for known, fit in parts], dtype=bool)
+
+    return docs.where(fitting(F.col(text)))

@@ -70,3 +70,20 @@ def test_odd_rows(spark):
     assert kept.columns == odd_rows(spark).columns and 1 not in {r["doc_id"] for r in kept.collect()}
     nothing = li.learn_and_identify(odd_rows(spark).drop("lang").selectExpr("*", "CAST(NULL AS STRING) AS lang"))
     assert {r["lang_pred"] for r in nothing.collect()} == {"und"}
+
+
+def test_texts_that_no_language_fits_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    by_language = {r["lang"]: r["text"] for r in docs.where("length(text) > 400").groupBy("lang").agg({"text": "min"}).withColumnRenamed("min(text)", "text").collect()}
+    odd = [
+        "Это простое русское предложение о погоде и природе",
+        "这是一个中文句子",
+        "xkcd bvnm qwrt zxcv plkj hgfd mnbv",
+        " ".join(x[:300] for x in by_language.values()),
+        "12 34",
+        None,
+    ]
+    more = spark.createDataFrame([(10**9 + 4 * i, t, None) for i, t in enumerate(odd)], docs.schema)
+    kept = {r["doc_id"] for r in li.in_known_language(docs.union(more)).collect()}
+    assert [10**9 + 4 * i in kept for i in range(len(odd))] == [False, False, False, True, False, False]
+    assert len(kept) >= 0.999 * docs.count()
