@@ -221,12 +221,12 @@ def _products(percent: int):
         owner, at = owner[keep], rank[where[keep]]
         order = np.argsort(at, kind="stable")
         owner, at = owner[order], at[order]
-        overlap = np.zeros((len(rows), len(rows)), np.float32)
+        overlap = np.zeros((len(rows), len(rows)), np.int64)  # a block's float32 counts are exact
         for low in range(0, int(shared.sum()), COLUMN_BLOCK):
             a, b = np.searchsorted(at, [low, low + COLUMN_BLOCK])
             part = np.zeros((len(rows), COLUMN_BLOCK), np.float32)
             part[owner[a:b], at[a:b] - low] = 1
-            overlap += part @ part.T
+            overlap += (part @ part.T).astype(np.int64)
         enough = overlap * (100 + percent) >= (sizes[:, None] + sizes[None, :]) * percent
         mine = block["part"].to_numpy() == first
         if key[1] != key[2]:

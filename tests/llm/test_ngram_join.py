@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from creditloom.llm import ngram_join
@@ -79,3 +81,12 @@ def test_one_of_each_group_stays(spark):
     kept = ngram_join.one_of_each_group(odd_rows(spark))
     assert kept.columns == odd_rows(spark).columns
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 4, 7, 8, 9, 10]
+
+
+def test_ties_of_long_rows_are_exact():
+    shared = 85 * 1069  # times 185 is odd and over 2^24
+    a = np.arange(98883)
+    b = np.concatenate([a[:shared], np.arange(200000, 200000 + 98882 - shared)])
+    assert 100 * shared == 85 * (len(a) + len(b) - shared)
+    block = pd.DataFrame({"id": [1, 2], "own": [1, 2], "part": [0, 0], "grams": [a, b]})
+    assert ngram_join._products(85)(("g", 0, 0), block).values.tolist() == [[1, 2]]
