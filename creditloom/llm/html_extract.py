@@ -20,12 +20,20 @@ from creditloom.llm.text import small_batches
 # HTML element classes.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
-NEVER_SHOWN = {"head", "script", "style", "title", "template", "iframe", "noembed", "noframes", "object", "audio", "video", "canvas", "svg", "math", "datalist", "select", "map"}
+NEVER_SHOWN = {"head", "script", "style", "title", "template", "iframe", "noembed", "noframes", "audio", "video", "canvas", "datalist"}
+# Elements inside svg and math that are not drawn where they stand; pieces() names them svg:desc and so on.
+FOREIGN = {
+    "svg": {"defs", "symbol", "clippath", "mask", "marker", "pattern", "lineargradient", "radialgradient", "filter", "metadata", "desc", "title"},
+    "math": {"annotation", "annotation-xml"},
+}
+NEVER_SHOWN |= {f"{k}:{name}" for k, names in FOREIGN.items() for name in names}
+# Named likewise: lines of a drawing, rows of a matrix, and parts that stand apart.
+FOREIGN_LAYOUT = {"svg": {"text"}, "math": {"mtr", "mtd", "mfrac"}}
 HEAD_ONLY = {"base", "link", "meta", "script", "style", "template", "title", "noscript"}
-SPACED = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "dl", "blockquote", "pre", "table", "figure", "hr", "fieldset", "menu"}
+SPACED = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "dl", "blockquote", "pre", "table", "figure", "hr", "fieldset", "menu", "xmp"}
 BLOCK = SPACED | {
     "address", "article", "aside", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dt", "figcaption", "footer", "form",
-    "header", "hgroup", "html", "legend", "li", "main", "nav", "optgroup", "option", "search", "section", "summary", "tbody", "td", "tfoot", "th", "thead", "tr",
+    "header", "hgroup", "html", "legend", "li", "main", "nav", "optgroup", "option", "search", "section", "summary", "tbody", "td", "tfoot", "th", "thead", "tr", "svg:text", "math:mtr",
 }
 ENDS_P = (BLOCK - {"li", "dt", "dd", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "body", "html", "option", "optgroup", "legend"}) | {"li", "dt", "dd"}
 LISTS = {"ul", "ol", "menu", "dir"}
@@ -50,10 +58,10 @@ WALLS = {"table", "td", "th", "caption", "html", "template", "object"}
 TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
 REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
-SHOWS = re.compile(r"(?:^|;)\s*visibility\s*:\s*visible\b", re.I)
-GONE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)|<!--|-->", re.S)
+CSS_MARK = re.compile(r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|[{};]", re.S)
+DECLARATION = re.compile(r"\s*(display|visibility)\s*:\s*([\w-]+)[^!]*(!\s*important)?\s*\Z", re.I)
+SIMPLE = re.compile(r"[.#]?[\w-]+")
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
 # Cells wider than this, or of several lines, make a table one of layout: its cells are blocks.
@@ -71,6 +79,7 @@ class Node:
 def pieces(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
     """(kind, name or text, attributes): open, close and text in the order of the page."""
     at, n = 0, len(page)
+    foreign: list[str] = []  # open svg and math
     while at < n:
         mark = page.find("<", at)
         if mark < 0:
@@ -94,15 +103,23 @@ def pieces(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
         rest = REST.match(page, head.end())
         end = rest.end() if rest else page.find(">", head.end()) + 1 or n
         name = head[2].lower()
+        if foreign and name in FOREIGN[foreign[-1]] | FOREIGN_LAYOUT[foreign[-1]]:
+            name = f"{foreign[-1]}:{name}"
         if head[1]:
+            if name in FOREIGN and name in foreign:
+                del foreign[len(foreign) - 1 - foreign[::-1].index(name) :]
             yield "close", name, {}
         else:
             body = page[head.end() : end - 1]
             attrs = {}
             for key, value in ATTRIBUTE.findall(body) if body.strip("/ \n\t") else ():
                 attrs.setdefault(key.lower(), html.unescape(value.strip("\"'")))
+            if (foreign or name in FOREIGN) and body.endswith("/"):
+                attrs["/"] = ""  # ends at once
+            elif name in FOREIGN:
+                foreign.append(name)
             yield "open", name, attrs
-            if name in RAW:
+            if name in RAW and "/" not in attrs:
                 close = re.compile(f"</{name}(?=[\\s/>])", re.I).search(page, end)
                 stop = close.start() if close else n
                 if stop > end:
@@ -147,7 +164,10 @@ def build(page: str) -> tuple[Node, list[str]]:
         top = open_[-1].tag
         if kind == "raw":
             if top == "style":
-                sheets.append(value)
+                if on_screen(open_[-1].attrs.get("media", "")):
+                    sheets.append(value)
+            elif top == "xmp":
+                open_[-1].children.append(value)
             elif top == "textarea":
                 open_[-1].children.append(html.unescape(value))
             continue
@@ -182,7 +202,7 @@ def build(page: str) -> tuple[Node, list[str]]:
                 push("tr", {})
             elif value == "tr" and top == "table":
                 push("tbody", {})
-            if value in VOID:
+            if value in VOID or "/" in attrs:
                 open_[-1].children.append(Node(value, attrs))
             else:
                 push(value, attrs)
@@ -207,15 +227,119 @@ def build(page: str) -> tuple[Node, list[str]]:
     return root, sheets
 
 
-def hiding_selectors(sheets: list[str]) -> tuple[set[str], set[str]]:
-    """Simple selectors (tag, .class, #id) that style sheets take out of sight: gone, hidden."""
-    gone, hidden = set(), set()
-    for sheet in sheets:
-        for selectors, body in RULE.findall(sheet):
-            if HIDES.search(body):
-                found = gone if GONE.search(body) else hidden
-                found.update(s.strip() for s in selectors.split(",") if re.fullmatch(r"\s*[.#]?[\w-]+\s*", s))
-    return gone, hidden
+def on_screen(media: str) -> bool:
+    """Whether a list of media queries holds on every screen; conditions on its size do not."""
+    queries = [q.split() for q in media.lower().split(",")]
+    return any(not q or q in (["all"], ["screen"], ["only", "screen"], ["only", "all"]) or len(q) == 2 and q[0] == "not" and q[1] in ("print", "speech") for q in queries)
+
+
+def css_rules(sheet: str) -> Iterator[tuple[str, str]]:
+    """(selectors, declarations) of the rules that hold on every screen, in their order."""
+    sheet = COMMENT.sub(" ", sheet)
+    open_: list[tuple[str | None, bool]] = [(None, True)]  # selectors, if in a rule, and whether it holds
+    start, parts = 0, []
+    for mark in [*CSS_MARK.finditer(sheet), None]:
+        what, at = (mark[0], mark.start()) if mark else ("", len(sheet))
+        if mark and what not in "{};":
+            continue
+        selectors, holds = open_[-1]
+        if what != "{" and selectors is not None:
+            parts.append(sheet[start:at])
+        if what != ";" and parts:
+            if holds:
+                yield selectors or "", ";".join(parts)
+            parts = []
+        if what == "{":
+            prelude = sheet[start:at].strip()
+            if prelude.startswith("@"):
+                name, condition = re.match(r"([\w-]*)(.*)", prelude[1:], re.S).groups()
+                inner = on_screen(condition) if name.lower() == "media" else name.lower() == "layer" or name.lower() == "supports" and not condition.strip().lower().startswith("not")
+                open_.append((selectors, holds and inner))
+            else:  # a rule inside a rule has no simple selector
+                open_.append((prelude, holds and selectors is None))
+        elif what == "}" and len(open_) > 1:
+            open_.pop()
+        start = at + 1
+
+
+def declared(block: str) -> dict[str, tuple[bool, str]]:
+    """display and visibility in a block of declarations: (important, value)."""
+    out: dict[str, tuple[bool, str]] = {}
+    for part in block.split(";"):
+        found = DECLARATION.match(part)
+        if found:
+            key, fresh = found[1].lower(), (bool(found[3]), found[2].lower())
+            if key not in out or fresh[0] >= out[key][0]:
+                out[key] = fresh
+    return out
+
+
+def cascade(sheets: list[str]) -> dict[str, dict[str, tuple[bool, int, int, str]]]:
+    """For each simple selector (tag, .class, #id) what style sheets declare of display and
+    visibility: (important, specificity, order, value)."""
+    out: dict[str, dict[str, tuple[bool, int, int, str]]] = {}
+    for order, (selectors, block) in enumerate(rule for sheet in sheets for rule in css_rules(sheet)):
+        found = declared(block)
+        for name in selectors.split(",") if found else ():
+            name = name.strip()
+            if SIMPLE.fullmatch(name):
+                own = out.setdefault(name if name[0] in ".#" else name.lower(), {})
+                for key, (important, value) in found.items():
+                    fresh = (important, {"#": 2, ".": 1}.get(name[0], 0), order, value)
+                    own[key] = max(own[key], fresh) if key in own else fresh
+    return out
+
+
+def shown_as(node: Node, sheets: dict[str, dict[str, tuple[bool, int, int, str]]]) -> tuple[str, str]:
+    """display and visibility of an element, empty where nothing is declared."""
+    style = node.attrs.get("style", "")
+    if not sheets and not style:
+        return "", ""
+    found = [sheets[n] for n in (node.tag, "#" + node.attrs.get("id", ""), *("." + c for c in node.attrs.get("class", "").split())) if n in sheets] if sheets else []
+    if style:
+        found.append({key: (important, 3, 0, value) for key, (important, value) in declared(style).items()})
+    return tuple(max((x[key] for x in found if key in x), default=(False, 0, 0, ""))[3] for key in ("display", "visibility"))
+
+
+def words_in(node: Node) -> str:
+    """All text in an element."""
+    out, todo = [], [node]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+        else:
+            todo += reversed(x.children)
+    return "".join(out)
+
+
+def choices(select: Node) -> tuple[list, int]:
+    """What a select shows, the chosen option or all of a list box, and how many it does not."""
+    options, groups, todo = [], {}, [(c, None) for c in reversed(select.children)]
+    while todo:
+        x, group = todo.pop()
+        if isinstance(x, str):
+            continue
+        if x.tag == "option":
+            options.append((x, group))
+        else:
+            inner = x if x.tag == "optgroup" else group
+            todo += [(c, inner) for c in reversed(x.children)]
+    size = select.attrs.get("size", "")
+    label = lambda o: o.attrs.get("label") or words_in(o)
+    if "multiple" in select.attrs or size.isdecimal() and len(size) < 9 and int(size) > 1:
+        shown = []
+        for o, group in options:
+            if group is not None and id(group) not in groups:
+                groups[id(group)] = True
+                shown.append(Node("option", {}))
+                shown[-1].children.append(group.attrs.get("label", ""))
+            shown.append(Node("option", {}))
+            shown[-1].children.append(label(o))
+        return shown, 0
+    free = [o for o, group in options if "disabled" not in o.attrs and (group is None or "disabled" not in group.attrs)]
+    chosen = ([o for o, _ in options if "selected" in o.attrs][-1:] or free[:1] or [None])[0]
+    return ([label(chosen)] if chosen is not None else []), len(options) - (chosen is not None)
 
 
 class Writer:
@@ -332,7 +456,7 @@ def span_of(value: str | None) -> int:
 def render(page: str | None) -> tuple[str, int, int, int, int]:
     """(text, blocks, list items, table cells, hidden elements) of one page."""
     root, sheets = build(page or "")
-    gone, hidden = hiding_selectors(sheets)
+    styles = cascade(sheets)
     counts = {"blocks": 0, "items": 0, "cells": 0, "hidden": 0}
     writers, tables, lists = [Writer()], [], []
     # (node or text, leaving, visible, preformatted); an explicit stack, as pages nest deeply
@@ -364,20 +488,19 @@ def render(page: str | None) -> tuple[str, int, int, int, int]:
             if tag in BLOCK:
                 out.block(tag in SPACED and not (tag in LISTS and lists))
             continue
-        style = node.attrs.get("style", "")
-        names = [tag, "#" + node.attrs.get("id", ""), *("." + c for c in node.attrs.get("class", "").split())]
+        display, visibility = shown_as(node, styles)
         if (
             tag in NEVER_SHOWN
             or "hidden" in node.attrs
-            or style and GONE.search(style)
-            or gone and any(s in gone for s in names)
+            or display == "none"
             or tag == "dialog" and "open" not in node.attrs
+            or tag == "object" and node.attrs.get("data")
         ):
             counts["hidden"] += 1
             continue
-        if style and SHOWS.search(style):
+        if visibility in ("visible", "initial"):
             visible = True
-        elif style and HIDES.search(style) or hidden and any(s in hidden for s in names):
+        elif visibility in ("hidden", "collapse"):
             counts["hidden"] += 1
             visible = False
         if tag == "br":
@@ -412,9 +535,15 @@ def render(page: str | None) -> tuple[str, int, int, int, int]:
         elif tag in ("td", "th") and tables:
             counts["cells"] += visible
             writers.append(Writer())
-        pre = pre or tag in ("pre", "textarea")
+        pre = pre or tag in ("pre", "textarea", "xmp")
+        children = node.children
+        if tag == "select":
+            children, more = choices(node)
+            counts["hidden"] += more
+        elif tag in ("math:mfrac", "math:mtr"):
+            children = [x for child in children for x in (child, " ")]
         todo.append((node, True, visible, pre))
-        for child in reversed(node.children):
+        for child in reversed(children):
             todo.append((child, False, visible, pre))
     lines = writers[0].result()
     return "\n".join(lines).strip("\n"), counts["blocks"], counts["items"], counts["cells"], counts["hidden"]
@@ -426,9 +555,11 @@ def extract(pages: DataFrame, page_id: str = "page_id", page: str = "html") -> D
     text holds all visible text: runs of white space as one blank (kept in pre), blocks on
     their own lines, an empty line around paragraphs, headings, lists and tables, list items
     after ``-`` or their number, cells of narrow tables in columns between bars and cells of
-    wide ones as blocks.  Not shown are the head, scripts, styles, templates, embedded media,
-    choices of forms, elements with ``hidden`` and those that inline styles or simple selectors
-    of the page's own style sheets hide.  Null and empty pages give empty text; broken markup
+    wide ones as blocks; of a select the chosen option or, in a list box, all.  Not shown are
+    the head, scripts, styles, templates, embedded media (an object with ``data``), elements with
+    ``hidden`` and those that inline styles or simple selectors of the page's own style sheets
+    hide, by importance, specificity and order; rules for print or under conditions on the
+    screen do not count.  Null and empty pages give empty text; broken markup
     is read as far as it goes; null ids stay null; repeated rows are read each; an empty table
     gives no rows; other columns are not looked at.
     """

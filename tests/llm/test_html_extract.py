@@ -56,3 +56,24 @@ def test_broken_and_odd_pages(spark):
     frame = spark.createDataFrame(rows, "page_id long, html string, text string")
     assert extract(frame).count() == len(rows)
     assert extract(frame.limit(0)).collect() == []
+
+
+def test_style_sheets_by_media_and_order():
+    body = "<div class=nav>menu</div><table><thead><tr><th>h<th>i<tbody><tr><td>1<td>2</table>"
+    want = "menu\n\nh | i\n1 | 2"
+    assert text(f"<style>@media print{{.nav{{display:none}}}} @media (max-width:600px){{thead{{display:none}}}}</style>{body}") == want
+    assert text(f"<style media=print>.nav{{display:none}}</style><style>.nav{{display:none}} .nav{{display:block}}</style>{body}") == want
+    assert text(f"<style>/* }} */ .x:after{{content:'}}'}} @import url(a); @font-face{{src:x}} .nav{{display:none}} div{{display:block}}</style>{body}") == want[6:]
+    for media in ("@media screen", "@media print, all", "@media not print", "@supports (display:grid)", "@layer base"):
+        assert text(f"<style>{media}{{.y{{color:red}} .nav{{display:none}}}}</style>{body}") == want[6:]
+    assert text("<style>.a{display:none!important} #b{display:none}</style><p class=a style='display:block'>x<p id=b style='display:block'>y") == "y"
+
+
+def test_text_of_xmp_math_svg_and_choices():
+    assert text("a<xmp>if <b> &amp;\n  c</xmp>d") == "a\n\nif <b> &amp;\n  c\n\nd"
+    assert text("x <math><semantics><mrow><mi>a</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow><annotation>TeX</annotation></semantics></math> y") == "x a=1 2 y"
+    assert text("<svg><title>t</title><defs><text>no</text></defs><path d='M0'/><desc/><text>one</text><text>two <tspan>three</tspan></text></svg>z") == "one\ntwo three\nz"
+    assert text("of <select><option>one<option selected>two<option>three</select> left") == "of two left"
+    assert text("of <select><option disabled>pick<option>one</select> left") == "of one left"
+    assert text("<select multiple><optgroup label=g><option>one<option>two</select>") == "g\none\ntwo"
+    assert text("<object>plain</object> <object data=a.pdf>b</object><map name=m>c<area></map>") == "plain c"
