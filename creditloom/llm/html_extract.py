@@ -64,8 +64,10 @@ DECLARATION = re.compile(r"\s*(display|visibility)\s*:\s*([\w-]+)[^!]*(!\s*impor
 SIMPLE = re.compile(r"[.#]?[\w-]+")
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
-# Cells wider than this, or of several lines, make a table one of layout: its cells are blocks.
+# Lines of a table cell are wrapped between words at this width.
 WIDEST_CELL = 60
+# Elements that make a table without header cells one of layout: its cells are blocks.
+SECTIONING = {"article", "aside", "footer", "header", "main", "nav", "section", "h1", "h2", "h3", "h4", "h5", "h6"}
 MOST_SPAN = 1000
 
 
@@ -398,9 +400,31 @@ class Writer:
         return self.lines
 
 
-def aligned(rows: list[list[list[str]]], writer: Writer) -> None:
-    """Write the cells of a table, each a list of lines, in columns or, if wide, as blocks."""
-    if any(len(cell) > 1 or len(cell[0]) > WIDEST_CELL for row in rows for cell in row if cell) or max(map(len, rows), default=0) < 2:
+def wrapped(line: str) -> list[str]:
+    """A line cut between words at WIDEST_CELL, its indent kept; longer words stay whole."""
+    if len(line) <= WIDEST_CELL:
+        return [line]
+    lead = line[: len(line) - len(line.lstrip(" "))]
+    out, now = [], ""
+    for word in line[len(lead) :].split(" "):
+        if now.strip(" ") and len(lead) + len(now) + 1 + len(word) > WIDEST_CELL:
+            out.append(lead + now)
+            now = word
+        else:
+            now = f"{now} {word}" if now else word
+    return [*out, lead + now]
+
+
+def aligned(table: Table, writer: Writer) -> None:
+    """Write the cells of a table, each a list of lines, in columns; those of a layout table as blocks.
+
+    A table is one of layout if its role says so, if it has no header and holds sections or
+    tables of several lines, or if nothing can be aligned: it has one column, or is one row
+    without header of which a cell has several lines.
+    """
+    rows = table.rows
+    single = not table.headed and len(rows) == 1 and any(len(cell) > 1 for row in rows for cell in row)
+    if table.layout or table.sections and not table.headed or single or max(map(len, rows), default=0) < 2:
         for row in rows:
             for cell in row:
                 if cell:
@@ -409,23 +433,33 @@ def aligned(rows: list[list[list[str]]], writer: Writer) -> None:
                         writer.verbatim(line)
                         writer.end(keep=True)
         return
+    rows = [[[part for line in cell for part in wrapped(line)] for cell in row] for row in rows]
     widths: list[int] = []
     for row in rows:
         widths += [0] * (len(row) - len(widths))
         for i, cell in enumerate(row):
-            widths[i] = max(widths[i], len(cell[0]) if cell else 0)
+            widths[i] = max(widths[i], max(map(len, cell), default=0))
+    ruled = any(len(cell) > 1 for row in rows for cell in row)
+    written = False
     for row in rows:
-        line = " | ".join((cell[0] if cell else "").ljust(w) for cell, w in zip(row, widths, strict=False))
-        if line.strip(" |"):
+        height = max(map(len, row), default=0)
+        if height and ruled and written:
             writer.block(False)
-            writer.verbatim(line.rstrip())
+            writer.verbatim("-+-".join("-" * w for w in widths))
+        for k in range(height):
+            line = " | ".join((cell[k] if k < len(cell) else "").ljust(w) for cell, w in zip(row, widths, strict=False))
+            if line.strip(" |") or height > 1:
+                writer.block(False)
+                writer.verbatim(line.rstrip())
+                written = True
 
 
 class Table:
     """Rows of a table while it is read; spans keep their place with empty cells."""
 
-    def __init__(self):
+    def __init__(self, layout: bool):
         self.rows: list[list[list[str]]] = []
+        self.layout, self.headed, self.sections = layout, False, False
         self.below: dict[int, int] = {}
 
     def start_row(self) -> None:
@@ -482,9 +516,12 @@ def render(page: str | None) -> tuple[str, int, int, int, int]:
                 tables[-1].cell(lines, span_of(node.attrs.get("colspan")), span_of(node.attrs.get("rowspan")))
                 continue
             elif tag == "table":
-                rows = tables.pop().rows
+                table = tables.pop()
                 out.block(True)
-                aligned(rows, out)
+                before = len(out.lines)
+                aligned(table, out)
+                if tables and len(out.lines) > before + 1:
+                    tables[-1].sections = True
             if tag in BLOCK:
                 out.block(tag in SPACED and not (tag in LISTS and lists))
             continue
@@ -515,6 +552,10 @@ def render(page: str | None) -> tuple[str, int, int, int, int]:
         if tag in BLOCK and tag not in ("td", "th"):
             counts["blocks"] += visible
             out.block(tag in SPACED and not (tag in LISTS and lists))
+        if tables and tag in SECTIONING:
+            tables[-1].sections = True
+        elif tables and tag in ("th", "thead", "caption"):
+            tables[-1].headed = True
         if tag in LISTS:
             start = node.attrs.get("start", "")
             lists.append(int(start) if tag == "ol" and re.fullmatch(r"-?\d{1,8}", start) else 1 if tag == "ol" else None)
@@ -529,7 +570,7 @@ def render(page: str | None) -> tuple[str, int, int, int, int]:
         elif tag in ("blockquote", "dd"):
             out.indent.append("  ")
         elif tag == "table":
-            tables.append(Table())
+            tables.append(Table(node.attrs.get("role", "").strip().lower() in ("presentation", "none")))
         elif tag == "tr" and tables:
             tables[-1].start_row()
         elif tag in ("td", "th") and tables:
@@ -554,8 +595,9 @@ def extract(pages: DataFrame, page_id: str = "page_id", page: str = "html") -> D
 
     text holds all visible text: runs of white space as one blank (kept in pre), blocks on
     their own lines, an empty line around paragraphs, headings, lists and tables, list items
-    after ``-`` or their number, cells of narrow tables in columns between bars and cells of
-    wide ones as blocks; of a select the chosen option or, in a list box, all.  Not shown are
+    after ``-`` or their number, cells of tables in columns between bars, wrapped at 60
+    characters, with a rule between the rows if a cell has several lines, and cells of layout
+    tables (see ``aligned``) as blocks; of a select the chosen option or, in a list box, all.  Not shown are
     the head, scripts, styles, templates, embedded media (an object with ``data``), elements with
     ``hidden`` and those that inline styles or simple selectors of the page's own style sheets
     hide, by importance, specificity and order; rules for print or under conditions on the

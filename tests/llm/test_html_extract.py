@@ -77,3 +77,20 @@ def test_text_of_xmp_math_svg_and_choices():
     assert text("of <select><option disabled>pick<option>one</select> left") == "of one left"
     assert text("<select multiple><optgroup label=g><option>one<option>two</select>") == "g\none\ntwo"
     assert text("<object>plain</object> <object data=a.pdf>b</object><map name=m>c<area></map>") == "plain c"
+
+
+def test_tables_with_long_cells_keep_rows_and_columns():
+    page = f"<table><tr><th>k<th>about<th>n<tr><td>a<td>{'word ' * 14}<td>1<tr><td>b<td>x<br>y<td>2</table>"
+    first = " ".join(["word"] * 12)
+    rule = f"--+-{'-' * 59}-+--"
+    rows = [f"k | {'about'.ljust(59)} | n", f"a | {first} | 1", f"  | {'word word'.ljust(59)} |", f"b | {'x'.ljust(59)} | 2", f"  | {'y'.ljust(59)} |"]
+    assert text(page).split("\n") == [rows[0], rule, *rows[1:3], rule, *rows[3:]]
+    for n in (60, 61):
+        assert text(f"<table><tr><td>{'w' * n}<td>x<tr><td>c<td>y</table>") == f"{'w' * n} | x\n{'c'.ljust(n)} | y"
+
+
+def test_layout_tables_are_known_by_structure():
+    rows = "<tr><td>one<td>two<tr><td>three<td>four"
+    assert text(f"<table role=presentation>{rows}</table>") == "one\ntwo\nthree\nfour"
+    assert text(f"<table>{rows}<tr><td><article>five</article><td>six</table>") == "one\ntwo\nthree\nfour\nfive\nsix"
+    assert text(f"<table>{rows}</table>") == "one   | two\nthree | four"
