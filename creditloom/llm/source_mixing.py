@@ -120,6 +120,7 @@ def rake_to_size(
     of an axis value is its target, as nearly as ``cycles`` cycles bring it.  A step takes the
     cells that are whole by now off the target and rakes the others to what is left; where they
     alone are over the target, or all are whole, the factor follows target over current sum.
+    The weights of the cells are written anew in each step, which keeps its plan to two joins.
     """
     axes = list(targets)
     base = cells.where("tokens > 0")
@@ -129,30 +130,20 @@ def rake_to_size(
     whole = F.lit(False)
     for a in axes:
         whole = whole | F.col(f"_{a}")
-    base = cut_lineage(base.select(*cells.columns, whole.alias("whole")))
-    factors = {a: cut_lineage(wanted[a].select(a, "target", F.lit(1.0).alias(f"f_{a}"))) for a in axes}
-
-    def weighted() -> tuple[DataFrame, Column]:
-        rows, weight = base, F.lit(1.0)
-        for b in axes:
-            rows = rows.join(factors[b].select(b, f"f_{b}"), b)
-            weight = weight * F.col(f"f_{b}")
-        return rows, F.when(F.col("whole"), F.lit(1.0)).otherwise(F.least(weight, F.lit(1.0)))
-
+    now = cut_lineage(base.select(*cells.columns, whole.alias("_whole"), F.lit(1.0).alias("_weight")))
+    p = F.when(F.col("_whole"), F.lit(1.0)).otherwise(F.least(F.col("_weight"), F.lit(1.0)))
+    kept, part = F.when(p >= 1, F.col("tokens")).otherwise(F.lit(0)), F.when(p < 1, F.col("tokens") * p).otherwise(F.lit(0.0))
     for _ in range(cycles):
         for a in axes:
-            rows, p = weighted()
-            kept, part = F.when(p >= 1, F.col("tokens")).otherwise(F.lit(0)), F.when(p < 1, F.col("tokens") * p).otherwise(F.lit(0.0))
-            sums = rows.groupBy(a).agg(F.sum(kept).cast("double").alias("_kept"), F.sum(part).alias("_part"))
-            left, old = F.col("target") - F.col("_kept"), F.col(f"f_{a}")
-            fresh = F.when((left > 0) & (F.col("_part") > 0), old * left / F.col("_part"))
-            fresh = fresh.otherwise(old * F.col("target") / (F.col("_kept") + F.col("_part")))
-            factors[a] = cut_lineage(factors[a].join(sums, a).select(a, "target", old.alias("_old"), fresh.alias(f"f_{a}")))
-        gap = factors[axes[-1]].agg(F.max(F.abs(F.col("_old") / F.col(f"f_{axes[-1]}") - 1))).first()[0] or 0.0
+            sums = now.groupBy(a).agg(F.sum(kept).cast("double").alias("_kept"), F.sum(part).alias("_part"))
+            left = F.col("target") - F.col("_kept")
+            step = F.when((left > 0) & (F.col("_part") > 0), left / F.col("_part")).otherwise(F.col("target") / (F.col("_kept") + F.col("_part")))
+            steps = sums.join(wanted[a], a).select(a, step.alias("_step"))
+            now = cut_lineage(now.drop("_step").join(steps, a).select(*cells.columns, "_whole", (F.col("_weight") * F.col("_step")).alias("_weight"), "_step"))
+        gap = now.agg(F.max(F.abs(1 / F.col("_step") - 1))).first()[0] or 0.0
         if gap < tolerance:
             break
-    rows, p = weighted()
-    return rows.select(*cells.columns, p.alias("probability"))
+    return now.select(*cells.columns, p.alias("probability"))
 
 
 def uniform(doc_id: Column) -> Column:
