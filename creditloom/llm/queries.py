@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from creditloom.llm import (
+    centroid_clusters,
     decontamination,
+    histogram_shards,
     html_extract,
     language_id,
     license_scan,
@@ -13,6 +15,7 @@ from creditloom.llm import (
     secret_scan,
     source_mixing,
     token_counts,
+    vector_codes,
 )
 from creditloom.llm.text import table
 
@@ -79,3 +82,18 @@ def op1(spark, sf_dir):
 @query("op9_html_extract")
 def op9(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op11_vector_codes", vector_codes.oracle())
+def op11(spark, sf_dir):
+    return vector_codes.digest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_centroid_clusters", centroid_clusters.oracle())
+def op12(spark, sf_dir):
+    return centroid_clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_histogram_shards", histogram_shards.oracle())
+def op13(spark, sf_dir):
+    return histogram_shards.shard(table(spark, sf_dir, "documents"))
