@@ -5,6 +5,7 @@ from creditloom.catalog import (  # noqa: F401
     feature_queries,
     model_queries,
     name_queries,
+    panel_queries,
     profile_queries,
     score_queries,
     stream_queries,

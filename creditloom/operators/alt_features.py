@@ -16,40 +16,68 @@ def _days_ago(date: str) -> Column:
     return F.datediff("as_of_date", date)
 
 
-def _counted(rows: DataFrame, date: str, value: str) -> DataFrame:
-    """Distinct (date, value) of each company with its count ``c`` and what a trend needs.
+def day_sums(rows: DataFrame, keys, date: str, value: str) -> DataFrame:
+    """Per (keys, date) what a trend in (date, value) order needs of the day's rows.
 
-    Rows are numbered 0.. by (date, value); equal rows are interchangeable, so c of them from
-    number s on enter with the sums of s .. s + c - 1.  x, xx and xy are the sums of numbers,
-    of their squares and of number times value; rows without a value have a number only.
+    m: rows; k: rows with a value; y: their sum; r, rr and ry: sums of the ranks 0.. inside the
+    day, of their squares and of rank times value, over rows with a value; top: the largest
+    value.  Equal rows are interchangeable, so they are counted first, and a day's distinct
+    values are ordered by themselves: no company's history comes together in one task.
     """
-    counts = rows.groupBy(*KEYS, date, value).agg(F.count("*").alias("c"))
-    before = Window.partitionBy(*KEYS).orderBy(date, value).rowsBetween(Window.unboundedPreceding, -1)
-    s, c = F.coalesce(F.sum("c").over(before), F.lit(0)).cast("double"), F.col("c").cast("double")
-    counts = counts.withColumn("_s", s)
-    x = c * F.col("_s") + c * (c - 1) / 2
-    xx = c * F.col("_s") * F.col("_s") + F.col("_s") * c * (c - 1) + (c - 1) * c * (2 * c - 1) / 6
+    keys = list(keys)
+    counts = rows.groupBy(*keys, date, value).agg(F.count("*").alias("_c"))
+    lower = Window.partitionBy(*keys, date).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    s, c = F.col("_s"), F.col("_c").cast("double")
+    counts = counts.withColumn("_s", F.coalesce(F.sum("_c").over(lower), F.lit(0)).cast("double"))
     y = F.col(value).cast("double")
-    there = lambda e: F.when(y.isNotNull(), e).otherwise(F.lit(0.0))
-    return counts.withColumns({"k": there(c), "x": there(x), "xx": there(xx), "y": there(c * y), "xy": there(x * y)}).drop("_s")
+    r = c * s + c * (c - 1) / 2
+    rr = c * s * s + s * c * (c - 1) + (c - 1) * c * (2 * c - 1) / 6
+    there = lambda e: F.sum(F.when(y.isNotNull(), e).otherwise(F.lit(0.0)))
+    return counts.groupBy(*keys, date).agg(
+        F.sum("_c").alias("m"), there(c).alias("k"), there(c * y).alias("y"), there(r).alias("r"),
+        there(rr).alias("rr"), there(r * y).alias("ry"), F.max(value).alias("top"),
+    )
 
 
-def _slope() -> Column:
-    """Least-squares slope from the sums of ``_counted``; null without two numbers."""
-    k, x, xx, y, xy = (F.sum(n) for n in ("k", "x", "xx", "y", "xy"))
+def numbered_sums(days: DataFrame, earlier: Column) -> DataFrame:
+    """``day_sums`` with x, xx and xy: the sums with numbers that go on from day to day.
+
+    ``earlier`` is the number of rows before the day.
+    """
+    s = earlier.cast("double")
+    return days.withColumns({
+        "x": F.col("k") * s + F.col("r"),
+        "xx": F.col("k") * s * s + F.lit(2.0) * s * F.col("r") + F.col("rr"),
+        "xy": s * F.col("y") + F.col("ry"),
+    })
+
+
+def slope_of(k: Column, x: Column, xx: Column, y: Column, xy: Column) -> Column:
+    """Least-squares slope from sums; null without two numbers."""
     return F.try_divide(k * xy - x * y, k * xx - x * x)
 
 
+def _numbered(rows: DataFrame, date: str, value: str) -> DataFrame:
+    """The days of each (company, as-of date), numbered through; a day is one row."""
+    days = day_sums(rows, KEYS, date, value)
+    upto = Window.partitionBy(*KEYS).orderBy(date).rowsBetween(Window.unboundedPreceding, -1)
+    return numbered_sums(days, F.coalesce(F.sum("m").over(upto), F.lit(0)))
+
+
+def _slope() -> Column:
+    return slope_of(*[F.sum(n) for n in ("k", "x", "xx", "y", "xy")])
+
+
 def sentiment_features(reviews: DataFrame, as_of) -> DataFrame:
     """Decayed mean sentiment, its trend in (date, score) order, and reviews a month."""
-    rows = _counted(as_of_rows(reviews, as_of, "review_date"), "review_date", "sentiment_score")
-    weight = F.col("c") * F.exp(-_days_ago("review_date") / F.lit(DECAY_DAYS))
-    stats = rows.groupBy(*KEYS).agg(
-        F.sum("c").alias("n"),
-        F.sum(F.col("sentiment_score") * weight).alias("weighted"),
-        F.sum(weight).alias("weights"),
+    days = _numbered(as_of_rows(reviews, as_of, "review_date"), "review_date", "sentiment_score")
+    weight = F.exp(-_days_ago("review_date") / F.lit(DECAY_DAYS))
+    stats = days.groupBy(*KEYS).agg(
+        F.sum("m").alias("n"),
+        F.sum(F.when(F.col("k") > 0, F.col("y") * weight)).alias("weighted"),
+        F.sum(F.col("m") * weight).alias("weights"),
         _slope().alias("slope"),
-        F.sum(F.when(_days_ago("review_date") <= 90, F.col("c")).otherwise(0)).alias("recent"),
+        F.sum(F.when(_days_ago("review_date") <= 90, F.col("m")).otherwise(0)).alias("recent"),
     )
     enough = F.col("n") >= 3
     return stats.select(
@@ -74,12 +102,12 @@ def headcount_features(headcount: DataFrame, as_of) -> DataFrame:
 
     Several headcounts of one day count from the lowest to the highest.
     """
-    rows = _counted(as_of_rows(headcount, as_of, "scrape_date"), "scrape_date", "headcount_estimate")
-    stats = rows.groupBy(*KEYS).agg(
-        F.sum("c").alias("n"),
+    days = _numbered(as_of_rows(headcount, as_of, "scrape_date"), "scrape_date", "headcount_estimate")
+    stats = days.groupBy(*KEYS).agg(
+        F.sum("m").alias("n"),
         _slope().alias("slope"),
         F.try_divide(F.sum("y"), F.sum("k")).alias("mean"),
-        F.max_by("headcount_estimate", F.struct("scrape_date", "headcount_estimate")).alias("latest"),
+        F.max_by("top", "scrape_date").alias("latest"),
     )
     growth = F.when(F.col("mean") > 0, F.try_divide("slope", "mean")).otherwise(F.lit(0.0))
     return stats.select(
