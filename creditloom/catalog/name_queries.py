@@ -17,6 +17,12 @@ def names_of(spark, sf):
     return resolution.name_counts(view(spark, sf, "transactions"))
 
 
+def distinct_forms(spark, sf):
+    """(normalised, copies); the distinct raw names are written first, so no row is cleaned twice."""
+    named = resolution.normalise_names(cut_lineage(names_of(spark, sf)))
+    return named.groupBy("normalised").agg(F.count("*").alias("copies"))
+
+
 # --- cleaning ---------------------------------------------------------------------------
 query("er_normalise", oracle("SELECT raw, normalised FROM normed", "raw normalised", uses="normed"))(
     lambda spark, sf: resolution.normalise_names(names_of(spark, sf)).select("raw", "normalised")
@@ -192,7 +198,7 @@ def match_tables(source):
     ),
 )
 def _(spark, sf):
-    forms = resolution.normalise_names(names_of(spark, sf)).select(F.col("normalised").alias("name")).distinct()
+    forms = distinct_forms(spark, sf).select(F.col("normalised").alias("name"))
     return fuzzy.fuzzy_match(cut_lineage(forms), cut_lineage(view(spark, sf, "dictionary")), THRESHOLD)
 
 
@@ -254,9 +260,7 @@ cte(
 
 
 def loose_names(spark, sf):
-    forms = resolution.normalise_names(names_of(spark, sf)).groupBy(F.col("normalised").alias("name")).agg(
-        F.count("*").alias("copies")
-    )
+    forms = distinct_forms(spark, sf).withColumnRenamed("normalised", "name")
     known = view(spark, sf, "overrides").select(F.col("normalised").alias("name")).union(
         view(spark, sf, "dictionary").select("entry")
     )
