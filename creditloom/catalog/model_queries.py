@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.catalog.feature_queries import training
 from creditloom.catalog.fixtures import cte, view
 from creditloom.catalog.registry import oracle, query
 from creditloom.catalog.score_queries import FEATURES
-from creditloom.operators import models, prep
+from creditloom.operators import metrics, models, prep
 from creditloom.session import cut_lineage
 from creditloom.streaming.feeds import work_folder
 
@@ -156,32 +159,44 @@ query(
 )(lambda spark, sf: prep.stratified_split(view(spark, sf, "default_labels").select(KEY, "defaulted"), "defaulted", KEY))
 
 
-# --- fitted models: what can be checked of them by value ------------------------------------
-def _both(spark, sf, run):
-    """Union of ``run(model_type)`` over both models."""
-    parts = [run(m).withColumn("model", F.lit(m)) for m in MODELS]
-    return parts[0].unionByName(parts[1])
-
-
+# --- fitted models --------------------------------------------------------------------------
+# Every query fits what it shows.  What SQL cannot know, scores, metrics and importances, is
+# returned as numbers; a fit that does not hold what every fit must hold is an error.
 def _split(spark, sf):
     rows = cut_lineage(prep.stratified_split(training(spark, sf), "defaulted", KEY))
     return rows, rows.where("role = 'train'"), rows.where("role = 'test'")
 
 
-_FITTED: dict = {}
+def sound(scores, groups=("model",)):
+    """``scores`` (groups, y, p) if all are probabilities that rank the classes; else an error.
+
+    Meant for the rows of the fit, on which any working model ranks better than a constant.
+    """
+    scores = cut_lineage(scores)
+    bad = scores.where(~F.coalesce(F.col("p").between(0.0, 1.0), F.lit(False))).count()
+    if bad:
+        raise ValueError(f"{bad} scores are no probabilities")
+    for r in metrics.grouped_metrics(scores, groups).collect():
+        values = [r[m] for m in ("auc_roc", "ks_statistic", "brier_score", "ece")]
+        if None in values or not r["auc_roc"] > 0.5 or not 0 <= r["brier_score"] <= 1:
+            raise ValueError(f"a fit that does not rank its own rows: {r}")
+    return scores
+
 
+def _scores(fitted, rows, *keep):
+    """One table of the scores of several models, by name."""
+    parts = [models.score(model, rows, list(keep)).withColumn("model", F.lit(name)) for name, model in fitted.items()]
+    return cut_lineage(reduce(DataFrame.unionByName, parts))
 
-def _fitted(spark, sf, model_type, whole=False):
-    """The model fitted on the training rows, or on all rows; once for each session."""
-    at = (spark.sparkContext.applicationId, sf, model_type, whole)
-    if at not in _FITTED:
-        rows, train, _ = _split(spark, sf)
-        _FITTED[at] = models.fit(rows if whole else train, model_type, FEATURES)
-    return _FITTED[at]
 
+def _fits(train, names=MODELS):
+    return models.fit_side_by_side({m: (train, m, FEATURES) for m in names})
 
-def _probability(p="p"):
-    return F.col(p).between(0.0, 1.0)
+
+def _checked(fitted, train):
+    """The models, each sound on the rows of its fit."""
+    sound(_scores(fitted, train, KEY, F.col("defaulted").alias("y")))
+    return fitted
 
 
 _MODEL_ROWS = "training t CROSS JOIN (VALUES ('boosted'), ('logistic')) m(model)"
@@ -197,13 +212,12 @@ _MODEL_ROWS = "training t CROSS JOIN (VALUES ('boosted'), ('logistic')) m(model)
 def _(spark, sf):
     """Rows for each class; whether all scores are probabilities and rank the classes on the
     rows of the fit better than a constant would."""
-    _, train, _ = _split(spark, sf)
-    model = _fitted(spark, sf, "boosted")
-    scored = cut_lineage(models.score(model, training(spark, sf), [KEY, "defaulted"]))
-    fitted = scored.join(train.select(KEY), KEY)
-    ranks = models.metric_suite(fitted.select(F.col("defaulted").alias("y"), "p")).select(F.col("auc_roc") > 0.5).scalar()
-    counts = scored.groupBy("defaulted").agg(F.count("*").alias("n"), F.every(_probability()).alias("valid"))
-    return counts.withColumn("ranks", ranks)
+    rows, train, _ = _split(spark, sf)
+    scored = _scores(_fits(train, ["boosted"]), rows, KEY, "defaulted", "role")
+    fitted = scored.where("role = 'train'").select(F.col("defaulted").alias("y"), "p")
+    ranks = metrics.metric_suite(fitted).select(F.coalesce(F.col("auc_roc") > 0.5, F.lit(False))).scalar()
+    valid = F.coalesce(F.every(F.coalesce(F.col("p").between(0.0, 1.0), F.lit(False))), F.lit(False))
+    return scored.groupBy("defaulted").agg(F.count("*").alias("n"), valid.alias("valid")).withColumn("ranks", ranks)
 
 
 @query(
@@ -216,85 +230,54 @@ def _(spark, sf):
     """Whether the penalised, weighted loss is flat at the fitted coefficients."""
     _, train, _ = _split(spark, sf)
     train = cut_lineage(prep.with_class_weight(train, "defaulted"))
-    model = _fitted(spark, sf, "logistic")
+    model = models.fit(train.drop("weight"), "logistic", FEATURES)
     slopes = models.loss_slopes(model, train, "defaulted", "weight")
     return slopes.select("feature", (F.abs("slope") < 1e-4).alias("flat"))
 
 
-_FOLD_ROWS = (
-    "SELECT f AS fold, company_id, CASE WHEN pos < n - (5 - f) * t THEN 'train' ELSE 'test' END AS role FROM ("
-    "SELECT company_id, row_number() OVER (ORDER BY application_date, md5(CAST(company_id AS VARCHAR)), company_id) - 1 AS pos, count(*) OVER () AS n, CAST(floor(count(*) OVER () * 0.2) AS BIGINT) AS t FROM default_labels) r "
-    "CROSS JOIN (SELECT CAST(unnest(range(0, 5)) AS INT) AS f) k WHERE n - (5 - f) * t > 0 AND t > 0 AND pos < n - (5 - f) * t + t"
-)
-
-
-@query(
-    "ml_cross_validate",
-    oracle(
-        "SELECT r.fold, r.role, m.model, count(*) AS n_rows, sum(l.defaulted) AS n_defaulted, true AS valid "
-        f"FROM ({_FOLD_ROWS}) r JOIN default_labels l ON l.company_id = r.company_id CROSS JOIN (VALUES ('boosted'), ('logistic')) m(model) "
-        f"WHERE r.fold IN (SELECT fold FROM ({_FOLD_ROWS}) x JOIN default_labels y ON y.company_id = x.company_id WHERE role = 'train' GROUP BY 1 HAVING count(DISTINCT defaulted) > 1) GROUP BY 1, 2, 3",
-        "fold role model n_rows n_defaulted valid", uses="default_labels",
-    ),
-)
+@query("ml_cross_validate")
 def _(spark, sf):
-    """Rows and defaults of each fold; whether its metrics lie in their ranges."""
+    """Rows, defaults and metrics of each fold, role and model; fold null: the means over the folds."""
     rows = ready(spark, sf)
-    folds = cut_lineage(prep.temporal_folds(rows.select(KEY, "application_date")))
-    counts = folds.join(rows.select(KEY, "defaulted"), KEY).groupBy("fold", "role").agg(
-        F.count("*").alias("n_rows"), F.sum("defaulted").alias("n_defaulted")
-    )
-    found = _both(spark, sf, lambda m: models.cross_validate(rows, folds, m, FEATURES))
-    inside = [F.coalesce(F.col(c).between(0.0, 1.0), F.lit(True)) for c in ("auc_roc", "ks_statistic", "brier_score")]
-    valid = found.select("fold", "role", "model", (inside[0] & inside[1] & inside[2]).alias("valid"))
-    return valid.join(counts, ["fold", "role"])
+    folds = prep.temporal_folds(rows.select(KEY, "application_date"))
+    found = cut_lineage(models.cross_validate(rows, folds, MODELS, FEATURES, extra={"mean_p": F.avg("p")}))
+    both = (F.col("n_defaulted") > 0) & (F.col("n_defaulted") < F.col("n_rows"))
+    broken = F.col("brier_score").isNull() | (both & (F.col("auc_roc").isNull() | F.col("ks_statistic").isNull()))
+    if found.where(broken | ((F.col("role") == "train") & ~(F.col("auc_roc") > 0.5))).count():
+        raise ValueError("a fold without metrics, or a fit that does not rank its own rows")
+    return found.unionByName(models.mean_over_folds(found).drop("n_folds"), allowMissingColumns=True)
 
 
-@query(
-    "ml_score",
-    oracle(f"SELECT company_id, model, true AS valid FROM {_MODEL_ROWS}", "company_id model valid", uses="training"),
-)
+@query("ml_score")
 def _(spark, sf):
-    """Both models score every company."""
-    rows = ready(spark, sf)
-    return _both(spark, sf, lambda m: models.score(_fitted(spark, sf, m), rows, [KEY])).select(
-        KEY, "model", _probability().alias("valid")
-    )
+    """The probability of default of every company by both models, fitted on the training rows."""
+    rows, train, _ = _split(spark, sf)
+    return _scores(_checked(_fits(train), train), rows, KEY, "role")
 
 
-@query(
-    "ml_refit_all",
-    oracle(
-        f"SELECT company_id, model, role, true AS valid FROM {_MODEL_ROWS} JOIN ("
-        "SELECT company_id, CASE WHEN pos <= round(n * 0.2) THEN 'test' ELSE 'train' END AS role FROM (SELECT company_id, defaulted, "
-        "row_number() OVER (PARTITION BY defaulted ORDER BY md5(concat(company_id, '|42')), company_id) AS pos, count(*) OVER (PARTITION BY defaulted) AS n FROM training) x"
-        ") s USING (company_id)",
-        "company_id model role valid", uses="training",
-    ),
-)
+@query("ml_refit_all")
 def _(spark, sf):
-    """The delivered models are fitted on all rows; hold-out scores come from the earlier ones."""
-    rows, _, _ = _split(spark, sf)
-
-    def run(m):
-        earlier, final = _fitted(spark, sf, m), _fitted(spark, sf, m, whole=True)
-        before = models.score(earlier, rows, [KEY, "role"]).withColumnRenamed("p", "p_holdout")
-        return before.join(models.score(final, rows, [KEY]).withColumnRenamed("p", "p_refit"), KEY)
-
-    return _both(spark, sf, run).select(KEY, "model", "role", (_probability("p_holdout") & _probability("p_refit")).alias("valid"))
-
-
-@query(
-    "ml_feature_importance",
-    oracle(
-        " UNION ALL ".join(f"SELECT '{f}' AS feature, true AS not_negative, true AS sums_to_one" for f in ORDER),
-        "feature not_negative sums_to_one",
-    ),
-)
+    """(model, fitted_on, role, rows, metrics): hold-out numbers come from the fit on the training
+    rows, and the delivered models are fitted again on all rows."""
+    rows, train, _ = _split(spark, sf)
+    label = F.col("defaulted").alias("y")
+    wanted = {(m, on): (part, m, FEATURES) for m in MODELS for on, part in (("train", train), ("all", rows))}
+    fitted = models.fit_side_by_side(wanted)
+    scored = [_scores({m: model}, rows, KEY, "role", label).withColumn("fitted_on", F.lit(on)) for (m, on), model in fitted.items()]
+    scored = cut_lineage(reduce(DataFrame.unionByName, scored))
+    sound(scored.where("role = 'train'"), ["model", "fitted_on"])
+    return metrics.grouped_metrics(scored, ["model", "fitted_on", "role"])
+
+
+@query("ml_feature_importance")
 def _(spark, sf):
-    found = cut_lineage(models.feature_importance(spark, _fitted(spark, sf, "boosted", whole=True), top=None))
-    one = found.agg(F.abs(F.sum("importance") - 1) < 1e-6).scalar()
-    return found.select("feature", (F.col("importance") >= 0).alias("not_negative"), one.alias("sums_to_one"))
+    """The fifteen most important features of the delivered boosted model."""
+    rows = ready(spark, sf)
+    model = _checked(_fits(rows, ["boosted"]), rows)["boosted"]
+    every = models.feature_importance(spark, model, top=None).agg(F.min("importance"), F.sum("importance"), F.count("*")).first()
+    if every[0] < 0 or abs(every[1] - 1) > 1e-6 or every[2] != len(models.assembled_names(model)):
+        raise ValueError(f"importances that are no shares: {every}")
+    return models.feature_importance(spark, model, top=15)
 
 
 @query(
@@ -321,12 +304,11 @@ def _(spark, sf):
 def _(spark, sf):
     """Whether both models score every company alike after writing and reading them."""
     rows = ready(spark, sf)
-
-    def run(m):
-        fitted = _fitted(spark, sf, m)
-        path = work_folder(spark, f"model-{m}")
-        models.save_model(fitted, path)
-        before = models.score(fitted, rows, [KEY]).withColumnRenamed("p", "p_before")
-        return before.join(models.score(models.load_model(path), rows, [KEY]).withColumnRenamed("p", "p_after"), KEY)
-
-    return _both(spark, sf, run).select(KEY, "model", (F.col("p_before") == F.col("p_after")).alias("same"))
+    fitted, again = _checked(_fits(rows), rows), {}
+    for name, model in fitted.items():
+        path = work_folder(spark, f"model-{name}")
+        models.save_model(model, path)
+        again[name] = models.load_model(path)
+    before = _scores(fitted, rows, KEY).withColumnRenamed("p", "p_before")
+    after = _scores(again, rows, KEY).withColumnRenamed("p", "p_after")
+    return before.join(after, [KEY, "model"]).select(KEY, "model", (F.col("p_before") == F.col("p_after")).alias("same"))

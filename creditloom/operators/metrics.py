@@ -31,10 +31,10 @@ def rank_metrics(scores: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     return _rank_metrics(cumulative(scores, y, p))
 
 
-def _rank_metrics(counted: DataFrame) -> DataFrame:
+def _rank_metrics(counted: DataFrame, groups=()) -> DataFrame:
     d = lambda c: F.col(c).cast("double")
     below = d("cum_n0") - d("n0")
-    one = counted.agg(
+    one = counted.groupBy(*groups).agg(
         F.sum(d("n1") * (below + d("n0") / 2)).alias("wins"),
         F.max(F.abs(F.try_divide(d("cum_n1"), d("all_n1")) - F.try_divide(d("cum_n0"), d("all_n0")))).alias("gap"),
         F.max(d("all_n1")).alias("n1"),
@@ -42,7 +42,7 @@ def _rank_metrics(counted: DataFrame) -> DataFrame:
     )
     auc = F.try_divide("wins", F.col("n1") * F.col("n0"))
     return one.select(
-        auc.alias("auc_roc"), (2 * auc - 1).alias("gini"), F.coalesce("gap", F.lit(0.0)).alias("ks_statistic")
+        *groups, auc.alias("auc_roc"), (2 * auc - 1).alias("gini"), F.coalesce("gap", F.lit(0.0)).alias("ks_statistic")
     )
 
 
@@ -91,6 +91,34 @@ def metric_suite(scores: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     return _rank_metrics(running_totals(t, "p", ["n1", "n0"])).withColumns({"brier_score": loss.scalar(), "ece": gap.scalar()})
 
 
+def grouped_metrics(scores: DataFrame, groups, y: str = "y", p: str = "p", extra: dict[str, Column] | None = None) -> DataFrame:
+    """The columns of :func:`metric_suite` with row counts, one row for each group.
+
+    One table of scores of many models and folds is measured at once.  ``extra`` names further
+    aggregates over ``y`` and ``p``.  Rank metrics are null in a group of one class.
+    """
+    groups = list(groups)
+    known = scores.where(F.col(p).isNotNull() & F.col(y).isNotNull()).select(*groups, F.col(y).alias("y"), F.col(p).alias("p"))
+    t = cut_lineage(known.groupBy(*groups, "p").agg(
+        F.sum(F.col("y").cast("bigint")).alias("n1"), F.sum(1 - F.col("y").cast("bigint")).alias("n0")
+    ))
+    n, score = F.col("n1") + F.col("n0"), F.col("p").cast("double")
+    squares = F.sum(F.col("n1") * F.pow(score - 1, 2) + F.col("n0") * F.pow(score, 2))
+    bins = t.groupBy(*groups, edges_at_or_below(score, unit_edges(10)).alias("bin")).agg(
+        F.sum(n).alias("n"), F.sum("n1").alias("hits"), F.sum(n * score).alias("total"), squares.alias("squares")
+    )
+    sums = bins.groupBy(*groups).agg(
+        F.sum("n").alias("n_rows"),
+        F.sum("hits").alias("n_defaulted"),
+        F.try_divide(F.sum("squares"), F.sum("n")).alias("brier_score"),
+        F.try_divide(F.sum(F.abs(F.col("hits") - F.col("total"))), F.sum("n")).alias("ece"),
+    )
+    found = sums.join(_rank_metrics(running_totals(t, "p", ["n1", "n0"], groups), groups), groups)
+    if extra:
+        found = found.join(known.groupBy(*groups).agg(*[v.alias(k) for k, v in extra.items()]), groups)
+    return found
+
+
 def roc_curve(scores: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """(threshold, fpr, tpr) without collinear inner points, from (0, 0) at a null threshold."""
     points = cumulative(scores, y, p, previous=True)

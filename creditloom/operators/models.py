@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
+import math
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.operators import prep
-from creditloom.operators.metrics import metric_suite
+from creditloom.operators.metrics import grouped_metrics, metric_suite
 from creditloom.session import cut_lineage, ensure_checkpoint_dir
 
 SEED = 42
 VECTOR = "features_vector"
+# Rows that one task of a fit has at least: the many short jobs of a small fit run in few tasks.
+ROWS_PER_TASK = 50_000
+# Fits that run side by side; each is a sequence of jobs, which alone leaves executors idle.
+SIDE_BY_SIDE = 8
 
 
 def preprocessing_stages(train: DataFrame, features) -> list:
@@ -62,8 +71,25 @@ def fit(
     if select_best:
         features = prep.select_k_best(train, features, min(select_best, len(features)), label)
     stages = preprocessing_stages(train, features)
+    n_rows = train.count()
     data = prep.with_class_weight(train, label).withColumn("label", F.col(label).cast("double"))
-    return Pipeline(stages=[*stages, estimator(model_type, train.count(), n_trees)]).fit(data)
+    data = data.coalesce(max(1, math.ceil(n_rows / ROWS_PER_TASK)))
+    return Pipeline(stages=[*stages, estimator(model_type, n_rows, n_trees)]).fit(data)
+
+
+def fit_side_by_side(wanted: dict, **options) -> dict:
+    """``{name: (train, model_type, features)}`` to ``{name: model}``; a bounded number at a time."""
+
+    def one(name):
+        train, model_type, features = wanted[name]
+        return fit(train, model_type, features, **options)
+
+    if not wanted:
+        return {}
+    side = inheritable_thread_target(next(iter(wanted.values()))[0].sparkSession)
+    with ThreadPoolExecutor(max_workers=min(SIDE_BY_SIDE, len(wanted))) as pool:
+        started = {name: pool.submit(side(one), name) for name in wanted}
+        return {name: run.result() for name, run in started.items()}
 
 
 def score(model: PipelineModel, rows: DataFrame, keep) -> DataFrame:
@@ -120,29 +146,34 @@ def evaluate(model: PipelineModel, rows: DataFrame, label: str = "defaulted") ->
 
 
 def cross_validate(
-    data: DataFrame, folds: DataFrame, model_type: str, features, key: str = "company_id", label: str = "defaulted",
-    n_trees: int = 200,
+    data: DataFrame, folds: DataFrame, model_types, features, key: str = "company_id", label: str = "defaulted",
+    n_trees: int = 200, extra: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """(fold, role, metrics...) for each temporal fold; folds are few, models are fitted in turn."""
-    numbers = [r["fold"] for r in folds.select("fold").distinct().orderBy("fold").collect()]
-    result = None
-    for number in numbers:
-        rows = cut_lineage(data.join(folds.where(F.col("fold") == number).select(key, "role"), key))
-        train, test = rows.where("role = 'train'"), rows.where("role = 'test'")
-        if train.select(label).distinct().count() < 2:
-            continue
-        model = fit(train, model_type, features, label, n_trees=n_trees)
-        for role, part in (("train", train), ("test", test)):
-            row = evaluate(model, part, label).select(
-                F.lit(number).alias("fold"), F.lit(role).alias("role"), "auc_roc", "ks_statistic", "brier_score"
-            )
-            result = row if result is None else result.unionByName(row)
-    return result
+    """(fold, role, model, n_rows, n_defaulted, metrics) for each temporal fold and model.
+
+    Folds are few.  Their rows are written once, the fits run side by side, and the scores of all
+    folds and models are measured as one table.  ``extra`` names further aggregates over the
+    label ``y`` and the probability ``p``.  A fold whose training rows have one class only is left
+    out; rank metrics of rows of one class are null.  Without a fold there are no rows.
+    """
+    rows = cut_lineage(data.join(folds.select(key, "fold", "role"), key))
+    classes = rows.where("role = 'train'").groupBy("fold").agg(F.countDistinct(label).alias("n"))
+    numbers = sorted(r["fold"] for r in classes.where("n > 1").collect())
+    train = lambda i: rows.where((F.col("fold") == i) & (F.col("role") == "train"))
+    fitted = fit_side_by_side({(i, m): (train(i), m, features) for i in numbers for m in model_types}, label=label, n_trees=n_trees)
+    keep = ["fold", "role", F.col(label).alias("y")]
+    scored = [
+        score(model, rows.where(F.col("fold") == i), keep).withColumn("model", F.lit(m)) for (i, m), model in fitted.items()
+    ]
+    if not scored:
+        scored = [rows.limit(0).select(*keep, F.lit(None).cast("double").alias("p"), F.lit("").alias("model"))]
+    return grouped_metrics(cut_lineage(reduce(DataFrame.unionByName, scored)), ["fold", "role", "model"], extra=extra)
 
 
 def mean_over_folds(fold_metrics: DataFrame) -> DataFrame:
+    """(model, role, mean metrics, n_folds); a null metric of a fold is skipped."""
     names = ["auc_roc", "ks_statistic", "brier_score"]
-    return fold_metrics.groupBy("role").agg(*[F.avg(m).alias(m) for m in names], F.count("*").alias("n_folds"))
+    return fold_metrics.groupBy("model", "role").agg(*[F.avg(m).alias(m) for m in names], F.count("*").alias("n_folds"))
 
 
 def save_model(model: PipelineModel, path: str) -> None:
