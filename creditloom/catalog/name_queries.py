@@ -286,6 +286,15 @@ def _(spark, sf):
     return clustering.cosine_pairs(loose_names(spark, sf).where(F.length("name") > 1), EPS)
 
 
+@query("er_cosine_pairs_approx")
+def _(spark, sf):
+    """The pairs that signatures find, with their exact cosine, beside the recall against all pairs."""
+    names = loose_names(spark, sf).where(F.length("name") > 1)
+    found = cut_lineage(clustering.approximate_pairs(names, EPS))
+    recall = clustering.recall_of(found, clustering.cosine_pairs(names, EPS)).first()
+    return found.select("*", F.lit(recall["n_exact"]).alias("n_exact"), F.lit(recall["recall"]).alias("recall"))
+
+
 @query(
     "er_density_clusters",
     oracle("SELECT name, exemplar FROM lo_clusters", "name exemplar", uses="loose", extra=_LOOSE),

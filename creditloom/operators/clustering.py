@@ -14,6 +14,10 @@ from creditloom.session import cut_lineage
 
 SLACK = 1e-9
 CELL = 4096
+# Signatures of the approximate search: bands of so many signs each.  Two names at cosine 0.7 agree
+# in a sign with probability 1 - acos(0.7)/pi = 0.75, so they share one of 40 bands of 9 signs with
+# probability 0.95, at 0.8 with 0.99.
+BANDS, SIGNS = 40, 9
 
 
 def ngrams(text: Column, smallest: int = 2, largest: int = 4) -> Column:
@@ -119,6 +123,64 @@ def cosine_pairs(names: DataFrame, eps: float = 0.3) -> DataFrame:
     return _meetings(cut_lineage(postings(name_vectors(tfidf(names)), threshold)), threshold)
 
 
+def _hashed(items: str, n_signs: int) -> Column:
+    words = F.sequence(F.lit(0), F.lit((n_signs - 1) // 64))
+    return F.transform(
+        items, lambda x: F.struct(x["weight"].alias("w"), F.transform(words, lambda k: F.xxhash64(k, x["gram"])).alias("h"))
+    )
+
+
+def _band_keys(hashed: str, bands: int, signs: int) -> Column:
+    """One number for each band: on which sides of its random hyperplanes the vector lies.
+
+    A hyperplane's coordinate for a gram is +1 or -1, one bit of a hash of the gram, so 64
+    hyperplanes cost one hash and nothing is stored or sent.
+    """
+
+    def sign(n: Column) -> Column:
+        bit = lambda x: F.call_function("shiftright", F.get(x["h"], F.floor(n / 64).cast("int")), n % 64).bitwiseAND(F.lit(1))
+        total = F.aggregate(hashed, F.lit(0.0), lambda acc, x: acc + x["w"] * (F.lit(1) - bit(x) * 2))
+        return (total > 0).cast("int")
+
+    def key(band: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(0), F.lit(signs - 1)), F.lit(0), lambda acc, i: acc * 2 + sign(band * signs + i))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), key)
+
+
+def approximate_pairs(names: DataFrame, eps: float = 0.3, bands: int = BANDS, signs: int = SIGNS) -> DataFrame:
+    """(name_a, name_b, cosine): pairs within ``eps`` that share a band of random-hyperplane signs.
+
+    Every cosine is exact and no pair is beyond ``eps``; a pair may be missed, more rarely the
+    nearer it is (see ``BANDS``).  :func:`cosine_pairs` finds all.  Names meet by (band, key) with
+    their numbers only; a key that many names share is dealt to cells of ``CELL`` x ``CELL``.
+    """
+    vectors = cut_lineage(name_vectors(tfidf(names)).withColumn("id", F.monotonically_increasing_id()))
+    hashed = vectors.select("id", _hashed("items", bands * signs).alias("hashed"))
+    found = cut_lineage(hashed.select("id", F.posexplode(_band_keys("hashed", bands, signs)).alias("band", "key")))
+    parts = found.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    found = found.join(parts.select("band", "key", F.ceil(F.col("n") / CELL).alias("parts")), ["band", "key"])
+    own = F.pmod(F.xxhash64("id"), F.col("parts"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
+    left = found.select("band", "key", F.col("id").alias("a"), own.alias("i"), every.alias("j"))
+    right = found.select("band", "key", F.col("id").alias("b"), own.alias("j"), every.alias("i"))
+    met = left.join(right, ["band", "key", "i", "j"]).where("a < b").select("a", "b").distinct()
+    side = lambda s: vectors.select(F.col("id").alias(s), F.col("name").alias(f"name_{s}"), F.col("items").alias(f"items_{s}"))
+    pairs = met.join(side("a"), "a").join(side("b"), "b")
+    first, second = F.least("name_a", "name_b"), F.greatest("name_a", "name_b")
+    return pairs.select(first.alias("name_a"), second.alias("name_b"), _cosine("items_a", "items_b").alias("cosine")).where(
+        F.col("cosine") >= 1.0 - eps - SLACK
+    )
+
+
+def recall_of(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row: exact pairs, those of them that were found, and their share (null without pairs)."""
+    both = exact.join(found.select("name_a", "name_b", F.lit(1).alias("_found")), ["name_a", "name_b"], "left")
+    return both.agg(F.count("*").alias("n_exact"), F.count("_found").alias("n_found")).withColumn(
+        "recall", F.try_divide("n_found", "n_exact")
+    )
+
+
 def _first_groups(found: DataFrame, threshold: float) -> DataFrame:
     """Components of the edges from each name to the first name of its posting lists.
 

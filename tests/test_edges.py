@@ -350,3 +350,20 @@ def test_models_rank_and_reload(spark, tmp_path):
         assert gap.where("abs(p - q) > 1e-12").count() == 0
     boosted = models.fit(df, "boosted", ["supplier_hhi", "total_inflow"], n_trees=5)
     assert models.feature_importance(spark, boosted).agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
+
+
+def test_signatures_find_near_pairs(spark, monkeypatch):
+    rng = random.Random(12)
+    bases = words(rng, 60, 14)
+    names = sorted({b + rng.choice(["", "A", "B1", " C"]) for b in bases for _ in range(4)} | {"PAYER ONE", "PAYER ONE A", "PAYER ONE B"})
+    df = spark.createDataFrame([(n, 1) for n in names if len(n) > 1], "name STRING, copies BIGINT")
+    exact = {(r[0], r[1]): r[2] for r in clustering.cosine_pairs(df, 0.3).collect()}
+    found = clustering.approximate_pairs(df, 0.3)
+    got = {(r[0], r[1]): r[2] for r in found.collect()}
+    assert got.keys() <= exact.keys() and len(got) >= 0.9 * len(exact) > 50
+    assert all(got[k] == pytest.approx(exact[k]) for k in got)
+    row = clustering.recall_of(found, clustering.cosine_pairs(df, 0.3)).first()
+    assert (row["n_exact"], row["n_found"]) == (len(exact), len(got))
+    monkeypatch.setattr(clustering, "CELL", 3)
+    assert {(r[0], r[1]) for r in clustering.approximate_pairs(df, 0.3).collect()} == got.keys()
+    assert clustering.approximate_pairs(df.limit(0)).collect() == []
