@@ -503,3 +503,27 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return resolution_eval.truth_sample(names_of(spark, sf), 500, 42)
+
+
+cte("later_mapping", "quick_mapping", "SELECT * FROM quick_mapping WHERE length(raw) % 6 <> 0")
+_BAG = "SELECT normalised, canonical FROM {0}"
+
+
+@query(
+    "ev_mapping_drift",
+    oracle(
+        " UNION ALL ".join(
+            f"SELECT normalised, canonical, '{name}' AS change, count(*) AS n FROM ({a} {op} ALL {b}) x GROUP BY 1, 2"
+            for name, a, op, b in (
+                ("kept", "SELECT normalised, normalised AS canonical FROM normed", "INTERSECT", _BAG.format("later_mapping")),
+                ("removed", "SELECT normalised, normalised AS canonical FROM normed", "EXCEPT", _BAG.format("later_mapping")),
+                ("added", _BAG.format("later_mapping"), "EXCEPT", "SELECT normalised, normalised AS canonical FROM normed"),
+            )
+        ),
+        "normalised canonical change n", uses="normed later_mapping",
+    ),
+)
+def _(spark, sf):
+    """From the mapping by rules to a later one, which knows overrides and lacks some names."""
+    later = cut_lineage(quick_mapping(spark, sf).where("length(raw) % 6 <> 0"))
+    return resolution_eval.mapping_drift(cut_lineage(simple_mapping(spark, sf)), later)

@@ -182,6 +182,23 @@ query(
         "industry n_companies", "default_rate", uses="companies default_labels",
     ),
 )(lambda spark, sf: profile.industry_default_rate(view(spark, sf, "companies"), _labels(spark, sf)))
+_UNKNOWN = "CASE WHEN company_id % 11 = 0 THEN NULL ELSE industry END"
+
+
+@query(
+    "eda_default_rate_totals",
+    oracle(
+        f"SELECT industry, postcode_area, CAST(grouping(industry, postcode_area) AS INT) AS level, avg(defaulted) AS default_rate, count(*) AS n_companies "
+        f"FROM (SELECT company_id, {_UNKNOWN} AS industry, postcode_area FROM companies) c LEFT JOIN default_labels l USING (company_id) GROUP BY CUBE (industry, postcode_area)",
+        "industry postcode_area level n_companies", "default_rate", uses="companies default_labels",
+    ),
+)
+def _(spark, sf):
+    """Rates by industry and area with all totals; some companies have no industry."""
+    companies = view(spark, sf, "companies").withColumn("industry", F.expr(_UNKNOWN))
+    return profile.default_rate_totals(companies, _labels(spark, sf))
+
+
 query(
     "eda_rolling_30d",
     oracle(

@@ -8,6 +8,7 @@ from creditloom.catalog.fixtures import cte
 from creditloom.catalog.name_queries import simple_mapping
 from creditloom.catalog.registry import oracle, query
 from creditloom.operators import store
+from creditloom.plans.ranks import exact_quantiles
 from creditloom.session import cut_lineage
 from creditloom.streaming import feeds
 
@@ -28,22 +29,36 @@ def _(spark, sf):
     return feeds.append_to_files(unique, feeds.work_folder(spark, "dedup"))
 
 
-# Arrivals: the events come in three files by their date; every 50th event of the first one is
-# late and only comes with a fourth.
-_ARRIVAL = (
-    "CASE WHEN ts < TIMESTAMP '2024-01-11' THEN CASE WHEN event_id % 50 = 0 THEN 3 ELSE 0 END "
-    "WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END"
-)
-_IN_ORDER = "CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END"
+# Arrivals: the events come in three parts of equal size by time; every 50th event of the first
+# part is late and only comes with a fourth.
+def _part(us: str, first, second) -> str:
+    return f"CASE WHEN {us} <= {first} THEN 0 WHEN {us} <= {second} THEN 1 ELSE 2 END"
+
+
+def _late(part: str) -> str:
+    return f"CASE WHEN {part} = 0 AND event_id % 50 = 0 THEN 3 ELSE {part} END"
+
 
+_CUT = "(SELECT CAST(round(quantile_cont(CAST(epoch_us(ts) AS DOUBLE), {0})) AS BIGINT) FROM events)"
+_ARRIVAL = _late(_part("epoch_us(ts)", _CUT.format("0.3"), _CUT.format("0.65")))
 
-def _arrivals(spark, sf, arrival, name):
-    """The events as one file for each arrival, read as a stream with a file a micro-batch."""
+
+def _each_arrival(spark, sf, late, name, run):
+    """The result of ``run`` on a stream that gets four arrivals.
+
+    An arrival has as many files as Spark writes.  The stream is started after each of them and
+    takes all of it, from where it stopped before.
+    """
     folder = feeds.work_folder(spark, f"{name}-arrivals")
-    events = spark.read.parquet(f"{sf}/events.parquet").withColumn("_at", F.expr(arrival))
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    events = spark.read.parquet(f"{sf}/events.parquet").withColumn("_us", us)
+    cuts = exact_quantiles(events.select(F.col("_us").cast("double").alias("t")), "t", [0.3, 0.65]).first()["quantiles"]
+    part = _part("_us", *[round(c) for c in cuts])
+    placed = events.withColumn("_at", F.expr(_late(part) if late else part))
     for k in range(4):
-        events.where(F.col("_at") == k).drop("_at").coalesce(1).write.mode("append").parquet(folder)
-    return feeds.event_stream(spark, folder, pattern="*.parquet", files_at_once=1)
+        placed.where(F.col("_at") == k).drop("_at", "_us").write.mode("append").parquet(folder)
+        result = run(feeds.event_stream(spark, folder, pattern="*.parquet"))
+    return result
 
 
 # A late row counts only if its day was still open: its end has to lie behind the watermark,
@@ -58,8 +73,9 @@ cte(
 
 
 def _daily(spark, sf):
-    stream = feeds.daily_activity(_arrivals(spark, sf, _ARRIVAL, "daily"))
-    return feeds.latest_results(stream, feeds.work_folder(spark, "daily"), ["user_id", "day"])
+    folder = feeds.work_folder(spark, "daily")
+    run = lambda stream: feeds.latest_results(feeds.daily_activity(stream), folder, ["user_id", "day"])
+    return _each_arrival(spark, sf, True, "daily", run)
 
 
 query(
@@ -69,6 +85,13 @@ query(
         "user_id day n", "total", uses="in_time",
     ),
 )(_daily)
+
+
+def _sliding(spark, sf):
+    folder = feeds.work_folder(spark, "sliding")
+    return _each_arrival(spark, sf, True, "sliding", lambda stream: feeds.sliding_activity(stream, folder))
+
+
 query(
     "st_sliding",
     oracle(
@@ -76,7 +99,7 @@ query(
         "SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n FROM in_time GROUP BY 1, 2) x CROSS JOIN range(0, 90) r(g) GROUP BY 1, 2",
         "user_id window_start n", uses="in_time",
     ),
-)(lambda spark, sf: feeds.sliding_activity(_daily(spark, sf)))
+)(_sliding)
 
 
 @query(
@@ -91,10 +114,15 @@ query(
 )
 def _(spark, sf):
     """Sessions that the watermark has closed; their state is gone and each is written once."""
-    stream = feeds.sessions(_arrivals(spark, sf, _IN_ORDER, "session")).select(
-        "user_id", F.unix_micros("session_start").alias("start_us"), F.unix_micros("session_end").alias("end_us"), "n"
-    )
-    return feeds.append_to_files(stream, feeds.work_folder(spark, "session"))
+    folder = feeds.work_folder(spark, "session")
+
+    def run(stream):
+        closed = feeds.sessions(stream).select(
+            "user_id", F.unix_micros("session_start").alias("start_us"), F.unix_micros("session_end").alias("end_us"), "n"
+        )
+        return feeds.append_to_files(closed, folder)
+
+    return _each_arrival(spark, sf, False, "session", run)
 
 
 @query(

@@ -252,6 +252,19 @@ def industry_default_rate(companies: DataFrame, labels: DataFrame, how: str = "l
     ).orderBy(F.desc("default_rate"), "industry")
 
 
+def default_rate_totals(companies: DataFrame, labels: DataFrame, by=("industry", "postcode_area")) -> DataFrame:
+    """Default rate and company counts for every combination of ``by``, for each column alone and overall.
+
+    One pass makes all grouping sets.  ``level`` has a bit for each column that a row totals over
+    (the first column is the highest), so a total is told from a null in the data.  Companies
+    without a label count as companies and not in the rate.
+    """
+    joined = companies.select("company_id", *by).join(labels.select("company_id", "defaulted"), "company_id", "left")
+    return joined.cube(*by).agg(
+        F.grouping_id().cast("int").alias("level"), F.avg(_double("defaulted")).alias("default_rate"), F.count("*").alias("n_companies")
+    )
+
+
 def rolling_mean_days(daily: DataFrame, days: int = 30) -> DataFrame:
     """Mean daily net of the last ``days`` calendar days, over the days with activity."""
     day = F.datediff("transaction_date", F.to_date(F.lit("1970-01-01")))

@@ -92,3 +92,15 @@ def evaluate(mapping: DataFrame, truth: DataFrame, transactions: DataFrame | Non
     if transactions is None:
         return row
     return row.withColumn("volume_coverage", volume_coverage(transactions, mapping).select("volume_coverage").scalar())
+
+
+def mapping_drift(old: DataFrame, new: DataFrame, columns=("normalised", "canonical")) -> DataFrame:
+    """(columns, change, n): rows that two versions of a mapping share, and those of one alone.
+
+    Versions are bags: a row that stands three times in the one and once in the other is 'kept'
+    once and 'removed' (or 'added') twice.  Nulls are values like others.
+    """
+    old, new = old.select(*columns), new.select(*columns)
+    parts = [(old.intersectAll(new), "kept"), (old.exceptAll(new), "removed"), (new.exceptAll(old), "added")]
+    counted = [df.groupBy(*columns).agg(F.count("*").alias("n")).withColumn("change", F.lit(name)) for df, name in parts]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from creditloom.operators.store import upsert
 from creditloom.session import shared_folder
@@ -88,14 +90,91 @@ def daily_activity(stream: DataFrame, delay: str = "1 day") -> DataFrame:
     )
 
 
-def sliding_activity(daily: DataFrame, days: int = 90) -> DataFrame:
-    """Counts of all ``days``-long windows with a one-day hop.
+DAY_MS = 86_400_000
+RUNS = "ARRAY<STRUCT<first: INT, last: INT, n: BIGINT>>"
 
-    The stream keeps one state row per company and day; the overlapping windows are unfolded
-    from those, not from the events, so state is ``days`` times smaller.
+
+def _partial_days(batches):
+    """(user_id, ts, day, n) of the rows that a task has: one for each company and day of a batch."""
+    for rows in batches:
+        rows = rows[rows["user_id"].notna() & rows["ts"].notna()]
+        days = rows.assign(day=rows["ts"].values.astype("datetime64[D]").astype("int32"))
+        yield days.groupby(["user_id", "day"], as_index=False).agg(ts=("ts", "max"), n=("ts", "size"))[["user_id", "ts", "day", "n"]]
+
+
+def _runs(base: int, changes: dict[int, int]) -> list[tuple[int, int, int]]:
+    """(first, last, n) of the window starts between changes, with a count above zero."""
+    out, n, at = [], base, None
+    for day in sorted(changes):
+        if n and at is not None:
+            out.append((at, day - 1, n))
+        n, at = n + changes[day], day
+    return out
+
+
+def _slide(days: int):
+    """State of a company: how the count of a window changes from one start day to the next.
+
+    A day with n events adds n at the first window that holds it and takes n away ``days``
+    later, two entries instead of one for each window.  Windows whose days are all closed by the
+    watermark go out for the last time and leave the state, so it holds ``days`` days and the delay.
+    """
+
+    def run(key, batches, state):
+        mark = state.getCurrentWatermarkMs()
+        base, starts, steps = state.get if state.exists else (0, [], [])
+        changes = dict(zip(starts, steps, strict=True))
+        for rows in batches:
+            for day, n in rows.loc[(rows["day"].astype("int64") + 1) * DAY_MS > mark, ["day", "n"]].itertuples(index=False):
+                changes[day - days + 1] = changes.get(day - days + 1, 0) + int(n)
+                changes[day + 1] = changes.get(day + 1, 0) - int(n)
+        runs = _runs(base, changes)
+        if runs:
+            yield pd.DataFrame({"user_id": [key[0]], "first": [runs[0][0]], "runs": [[dict(zip(("first", "last", "n"), r)) for r in runs]]})
+        closed = mark // DAY_MS - days  # the last start whose days are all closed
+        past = [d for d in changes if d <= closed]
+        base += sum(changes.pop(d) for d in past)
+        if base and past:  # the count goes on from the first start that is still open
+            changes[closed + 1] = changes.get(closed + 1, 0) + base
+            base = 0
+        state.update((base, sorted(changes), [changes[d] for d in sorted(changes)]))
+
+    return run
+
+
+def sliding_activity(stream: DataFrame, folder: str, days: int = 90, delay: str = "1 day") -> DataFrame:
+    """(user_id, window_start, n): events in every ``days``-long window with a one-day hop.
+
+    The counts come out of the stream as runs of equal windows: each micro-batch writes, for the
+    companies that it touches, the runs that are not closed yet, and what a company wrote earlier
+    stands for the starts before its next first one.  Open windows are included.  Rows whose day
+    the watermark has closed are dropped, as in :func:`daily_activity`.  Tasks count by company
+    and day before anything is exchanged, so a hot company has a row for each task and day.
     """
-    starts = F.explode(F.sequence(F.date_sub("day", days - 1), F.col("day"))).alias("window_start")
-    return daily.select("user_id", starts, "n").groupBy("user_id", "window_start").agg(F.sum("n").alias("n"))
+    spark = stream.sparkSession
+    partial = stream.select("user_id", "ts").mapInPandas(_partial_days, "user_id BIGINT, ts TIMESTAMP, day INT, n BIGINT")
+    states = (
+        partial.withWatermark("ts", delay).groupBy("user_id").applyInPandasWithState(
+            _slide(days), f"user_id BIGINT, first INT, runs {RUNS}", "base BIGINT, starts ARRAY<INT>, steps ARRAY<BIGINT>",
+            "update", GroupStateTimeout.NoTimeout,
+        )
+    )
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/data/batch={number}")
+
+    query = (
+        states.writeStream.outputMode("update").foreachBatch(save)
+        .option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    rows = spark.read.option("basePath", f"{folder}/data").schema(f"user_id BIGINT, first INT, runs {RUNS}, batch INT").parquet(f"{folder}/data")
+    later = Window.partitionBy("user_id").orderBy("batch").rowsBetween(1, Window.unboundedFollowing)
+    runs = rows.withColumn("until", F.min("first").over(later)).select("user_id", "until", F.inline("runs"))
+    runs = runs.withColumn("last", F.least("last", F.col("until") - 1)).where("first <= last")
+    return runs.select("user_id", F.explode(F.sequence("first", "last")).alias("day"), "n").select(
+        "user_id", F.date_from_unix_date("day").alias("window_start"), "n"
+    )
 
 
 def sessions(stream: DataFrame, gap: str = "6 hours", delay: str = "1 day") -> DataFrame:
