@@ -7,6 +7,7 @@ from creditloom.catalog import (  # noqa: F401
     name_queries,
     panel_queries,
     profile_queries,
+    range_queries,
     score_queries,
     stream_queries,
 )
