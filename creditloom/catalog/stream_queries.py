@@ -125,6 +125,26 @@ def _(spark, sf):
     return _each_arrival(spark, sf, False, "session", run)
 
 
+GAP_HOURS = 24
+
+
+@query(
+    "st_quiet_gaps",
+    oracle(
+        "SELECT user_id, start_us, CASE WHEN next_us <= mark THEN next_us END AS end_us FROM ("
+        "SELECT user_id, epoch_us(ts) AS start_us, epoch_us(lead(ts) OVER (PARTITION BY user_id ORDER BY ts)) AS next_us, "
+        "(SELECT max(epoch_us(ts)) // 1000 - 86400000 FROM events) * 1000 - 1 AS mark FROM events) g "
+        f"WHERE start_us <= mark AND CASE WHEN next_us <= mark THEN next_us - start_us >= {GAP_HOURS} * 3600000000 "
+        f"ELSE start_us // 1000 + {GAP_HOURS} * 3600000 < mark // 1000 + 1 END",
+        "user_id start_us end_us",
+    ),
+)
+def _(spark, sf):
+    """Gaps of a day or more as far as the watermark, after four arrivals and three restarts."""
+    folder = feeds.work_folder(spark, "gaps")
+    return _each_arrival(spark, sf, False, "gaps", lambda stream: feeds.quiet_gaps(stream, folder, GAP_HOURS * 3_600_000))
+
+
 @query(
     "st_enrich",
     oracle(

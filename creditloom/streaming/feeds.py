@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from creditloom.operators.store import upsert
 from creditloom.session import shared_folder
@@ -41,14 +42,29 @@ def event_stream(
     return stream.withColumn("ts", F.col("ts").cast("timestamp")) if "ts" in stream.columns else stream
 
 
-def append_to_files(stream: DataFrame, folder: str) -> DataFrame:
-    """Run an append stream into parquet files and read them back."""
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def append_to_files(stream: DataFrame, folder: str, rocks_db: bool = False) -> DataFrame:
+    """Run an append stream into parquet files and read them back.
+
+    ``rocks_db`` holds the state in the store that timers and map states need; the setting of the
+    session is as before afterwards.
+    """
     spark = stream.sparkSession
-    query = (
-        stream.writeStream.outputMode("append").format("parquet")
-        .option("path", f"{folder}/data").option("checkpointLocation", f"{folder}/progress")
-        .trigger(availableNow=True).start()
-    )
+    provider = spark.conf.get(STATE_STORE, None)
+    if rocks_db:
+        spark.conf.set(STATE_STORE, ROCKS_DB)
+    try:
+        query = (
+            stream.writeStream.outputMode("append").format("parquet")
+            .option("path", f"{folder}/data").option("checkpointLocation", f"{folder}/progress")
+            .trigger(availableNow=True).start()
+        )
+    finally:
+        if rocks_db:
+            spark.conf.set(STATE_STORE, provider) if provider else spark.conf.unset(STATE_STORE)
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/data")
 
@@ -186,6 +202,95 @@ def sessions(stream: DataFrame, gap: str = "6 hours", delay: str = "1 day") -> D
     )
 
 
+def _partial_times(gap_ms: int):
+    """(user_id, ts, first, last) of a task's rows: one for each company and span of ``gap_ms``.
+
+    Events in one span are less than a gap apart, so only its first and last one matter.
+    """
+
+    def partial(batches):
+        for rows in batches:
+            rows = rows[rows["user_id"].notna() & rows["ts"].notna()]
+            us = rows["ts"].values.astype("datetime64[us]").astype("int64")
+            spans = rows.assign(us=us, span=us // (1000 * gap_ms)).groupby(["user_id", "span"], as_index=False)
+            yield spans.agg(ts=("ts", "max"), first=("us", "min"), last=("us", "max"))[["user_id", "ts", "first", "last"]]
+
+    return partial
+
+
+class QuietGaps(StatefulProcessor):
+    """Gaps between a company's events, reported while they are open and again when they end.
+
+    Events wait in the state until the watermark has passed them, so late ones find their place;
+    by then they are in order.  A timer ``gap_ms`` after the last event reports an open gap.  The
+    state has two times for each waiting span and the last event.
+    """
+
+    def __init__(self, gap_ms: int):
+        self.gap_ms = gap_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "us BIGINT")
+        self.waiting = handle.getMapState("waiting", "span BIGINT", "first BIGINT, last BIGINT")
+
+    def handleInputRows(self, key, rows, timerValues):
+        mark = timerValues.getCurrentWatermarkInMs()
+        for batch in rows:
+            for first, last in batch[["first", "last"]].itertuples(index=False):
+                if last // 1000 <= mark:
+                    continue  # closed already
+                span = (int(first) // (1000 * self.gap_ms),)
+                if self.waiting.containsKey(span):
+                    a, b = self.waiting.getValue(span)
+                    first, last = min(a, first), max(b, last)
+                self.waiting.updateValue(span, (int(first), int(last)))
+                self.handle.registerTimer(int(last) // 1000 + 1)
+        yield pd.DataFrame()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        now, found = timerValues.getCurrentWatermarkInMs(), []
+        before = self.last.get()[0] if self.last.exists() else None
+        passed = sorted((a, b, span) for span, (a, b) in self.waiting.iterator() if a // 1000 < now)
+        for first, last, span in passed:
+            if before is not None and first - before >= 1000 * self.gap_ms:
+                found.append((key[0], before, first))
+            if last // 1000 < now:
+                before = last
+                self.waiting.removeKey(span)
+            else:  # its first event has passed, its last one waits
+                before = first
+                self.waiting.updateValue(span, (last, last))
+        if passed:
+            self.last.update((before,))
+            self.handle.registerTimer(before // 1000 + self.gap_ms + 1)
+        if before is not None and before // 1000 + self.gap_ms < now:
+            found.append((key[0], before, None))
+        yield pd.DataFrame({
+            "user_id": pd.array([f[0] for f in found], "Int64"),
+            "start_us": pd.array([f[1] for f in found], "Int64"),
+            "end_us": pd.array([f[2] for f in found], "Int64"),
+        })
+
+    def close(self) -> None:
+        pass
+
+
+def quiet_gaps(stream: DataFrame, folder: str, gap_ms: int, delay: str = "1 day") -> DataFrame:
+    """(user_id, start_us, end_us): times of at least ``gap_ms`` without an event, as far as the watermark.
+
+    end_us is null for a gap that is still open; once an event ends it the row has its end.
+    """
+    spark = stream.sparkSession
+    partial = stream.select("user_id", "ts").mapInPandas(_partial_times(gap_ms), "user_id BIGINT, ts TIMESTAMP, first BIGINT, last BIGINT")
+    gaps = partial.withWatermark("ts", delay).groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=QuietGaps(gap_ms), outputStructType="user_id BIGINT, start_us BIGINT, end_us BIGINT",
+        outputMode="append", timeMode="eventTime",
+    )
+    found = append_to_files(gaps, folder, rocks_db=True)
+    return found.groupBy("user_id", "start_us").agg(F.max("end_us").alias("end_us"))
+
+
 def enriched(stream: DataFrame, mapping: DataFrame) -> DataFrame:
     """Stream-static left join with the name mapping; the optimizer broadcasts it if small."""
     lookup = mapping.select(F.col("raw").alias("merchant_name"), F.col("canonical").alias("_mapped"))

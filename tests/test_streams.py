@@ -83,3 +83,24 @@ def test_drift_counts_repeats(spark):
     new = spark.createDataFrame([("a", "A"), ("b", None), ("b", None), ("b", None), ("c", "C")], old.schema)
     got = {(r["normalised"], r["change"]): r["n"] for r in resolution_eval.mapping_drift(old, new).collect()}
     assert got == {("a", "kept"): 1, ("a", "removed"): 2, ("b", "kept"): 2, ("b", "added"): 1, ("c", "added"): 1}
+
+
+def test_quiet_gaps_open_and_close(spark, tmp_path):
+    """A gap is there while it is open, gets its end, and late rows fall into their place."""
+    hour = 3600
+
+    def at(hours, user=1):
+        return (0, START + dt.timedelta(seconds=round(hours * hour)), user, "x", 1.0, None)
+
+    def found(rows):
+        spark.createDataFrame(rows, DDL).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = feeds.event_stream(spark, f"{tmp_path}/in", pattern="*.parquet")
+        got = feeds.quiet_gaps(stream, f"{tmp_path}/work", 10 * hour * 1000, "5 hours").collect()
+        zero = (START - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+        hours = lambda us: None if us is None else (us - zero) / (hour * 1e6)
+        return {(r["user_id"], hours(r["start_us"]), hours(r["end_us"])) for r in got}
+
+    assert found([at(0), at(1), at(3), at(12.5), at(30, 2), at(1, 3)]) == {(1, 12.5, None), (3, 1, None)}
+    # 40 of company 1 ends its gap; 27 of company 2 is late but in time, 2 of company 3 is too late.
+    assert found([at(40), at(27, 2), at(2, 3), at(41, 2), (0, None, 1, "x", 1.0, None)]) == {(1, 12.5, None), (3, 1, None)}
+    assert found([at(60, 2)]) == {(1, 12.5, 40), (1, 40, None), (2, 30, 41), (2, 41, None), (3, 1, None)}
