@@ -2,8 +2,9 @@
 
 A generalised suffix automaton holds all word sequences of the licence templates.  Streaming
 the words of a document through it gives the matching statistics: how long the sequence that
-ends at each word occurs in some template.  Matches that cannot be extended and are long enough
-are chained, in the order of both texts, into spans; a span's share of its template decides.
+ends at each word occurs in some template, and along the suffix links how long its end occurs in
+each other one.  Matches that their template cannot extend and that are long enough are chained,
+in the order of both texts, into spans; a span's share of its template decides.
 """
 
 from __future__ import annotations
@@ -54,6 +55,28 @@ def words(text: str | None) -> list[bytes]:
     return text.encode().translate(FOLD).split() if text else []
 
 
+def best_chains(parts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """(start, end, template end, words covered) of the best chain that ends with each part.
+
+    ``parts`` are (end, length, template end), sorted.  A part follows another if it ends later
+    in both texts and at most MOST_GAP words lie between them in either; words that overlap in
+    one of the texts count once.  Of chains that cover as much, the earlier start counts.
+    """
+    chains: list[tuple[int, int, int, int]] = []
+    for i, (end, length, t) in enumerate(parts):
+        start, at = end - length, t - length
+        best = (length, -start)
+        for j in range(i - 1, -1, -1):
+            first, stop, above, covered = chains[j]
+            if start - stop > MOST_GAP:
+                break  # parts are in the order of their ends
+            over = max(0, stop - start, above - at)
+            if stop < end and above < t and over < length and max(start + over - stop, at + over - above) <= MOST_GAP:
+                best = max(best, (covered + length - over, -first))
+        chains.append((-best[1], end, t, best[0]))
+    return chains
+
+
 class Automaton:
     """Generalised suffix automaton over word sequences, with where each state's words end."""
 
@@ -73,6 +96,16 @@ class Automaton:
             for k, ends in self.ends[state].items():
                 self.ends[self.link[state]].setdefault(k, set()).update(ends)
         self.least = min([LEAST_MATCH, *self.lengths], default=LEAST_MATCH)
+        # For each state the templates that hold its words or a long enough end of them: the
+        # state of the longest such end.
+        self.held: list[dict[int, int]] = [{} for _ in self.link]
+        for state in sorted(range(1, len(self.link)), key=self.length.__getitem__):
+            below = {k: s for k, s in self.held[self.link[state]].items() if self.length[s] >= self.asked(k)}
+            self.held[state] = below | {k: state for k in self.ends[state]}
+
+    def asked(self, template: int) -> int:
+        """Words of a match that is worth chaining; short templates ask for all of theirs."""
+        return min(LEAST_MATCH, self.lengths[template])
 
     def _state(self, length: int, link: int, moves: dict[bytes, int]) -> int:
         self.length.append(length)
@@ -103,52 +136,41 @@ class Automaton:
             self.link[new] = self._split(last, word, self.next[last][word])
         return new
 
-    def matches(self, sequence: list[bytes]) -> Iterator[tuple[int, int, int]]:
-        """(end, length, state) wherever the matching statistics stop growing."""
-        state, length, least = 0, 0, self.least
-        moves = self.next
+    def matches(self, sequence: list[bytes]) -> Iterator[tuple[int, int, int, int]]:
+        """(end, length, template, state) wherever the longest end that a template holds stops growing.
+
+        ``state`` says where in the template those words end.
+        """
+        state, length, moves = 0, 0, self.next
+        before: dict[int, tuple[int, int]] = {}  # template: (length, state)
         for at, word in enumerate(sequence):
-            if word in moves[state]:
-                state = moves[state][word]
-                length += 1
-                continue
-            if length >= least:
-                yield at, length, state
             while state and word not in moves[state]:
                 state = self.link[state]
-            length = self.length[state]
+                length = self.length[state]
             if word in moves[state]:
                 state = moves[state][word]
                 length += 1
-        if length >= least:
-            yield len(sequence), length, state
+            now: dict[int, tuple[int, int]] = {}
+            if length >= self.least:
+                for k, s in self.held[state].items():
+                    long = min(length, self.length[s])
+                    if long >= self.asked(k):
+                        now[k] = (long, s)
+            for k, (long, s) in before.items():
+                if k not in now or now[k][0] != long + 1:
+                    yield at, long, k, s
+            before = now
+        for k, (long, s) in before.items():
+            yield len(sequence), long, k, s
 
     def spans(self, sequence: list[bytes]) -> list[tuple[int, int, int, float]]:
         """(template, start, end, share) of the best chains, in words, by start and template."""
         found: dict[int, list[tuple[int, int, int]]] = {}
-        for end, length, state in self.matches(sequence):
-            for k, ends in self.ends[state].items():
-                if length >= min(LEAST_MATCH, self.lengths[k]):
-                    for t in ends:
-                        found.setdefault(k, []).append((end - length, end, t - length))
+        for end, length, k, state in self.matches(sequence):
+            found.setdefault(k, []).extend((end, length, t) for t in self.ends[state][k])
         out = []
         for k, parts in found.items():
-            parts.sort()
-            open_chains: list[tuple[int, int, int, int]] = []  # (start, end, template end, covered)
-            chains = []
-            for start, end, at in parts:
-                length = end - start
-                fits = [
-                    c for c in open_chains if 0 <= start - c[1] <= MOST_GAP and 0 <= at - c[2] <= MOST_GAP
-                ]
-                before = max(fits, key=lambda c: c[3], default=None)
-                if before:
-                    chain = (before[0], end, at + length, before[3] + length)
-                else:
-                    chain = (start, end, at + length, length)
-                open_chains = [c for c in open_chains if start - c[1] <= MOST_GAP and c is not before]
-                open_chains.append(chain)
-                chains.append(chain)
+            chains = best_chains(sorted(parts))
             best: list[tuple[int, int, float]] = []
             for start, end, _, covered in sorted(chains, key=lambda c: (c[0], -c[3], c[1])):
                 if not best or start >= best[-1][1]:
