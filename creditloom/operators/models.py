@@ -24,6 +24,8 @@ VECTOR = "features_vector"
 ROWS_PER_TASK = 50_000
 # Fits that run side by side; each is a sequence of jobs, which alone leaves executors idle.
 SIDE_BY_SIDE = 8
+# Trees of a boosted fit.
+TREES = 200
 
 
 def preprocessing_stages(train: DataFrame, features) -> list:
@@ -41,11 +43,11 @@ def preprocessing_stages(train: DataFrame, features) -> list:
     ]
 
 
-def estimator(model_type: str, n_rows: int, n_trees: int = 200):
+def estimator(model_type: str, n_rows: int, n_trees: int | None = None):
     """'boosted' or 'logistic'; anything else is an error."""
     if model_type == "boosted":
         return GBTClassifier(
-            featuresCol=VECTOR, labelCol="label", maxIter=n_trees, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, seed=SEED
+            featuresCol=VECTOR, labelCol="label", maxIter=n_trees or TREES, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, seed=SEED
         )
     if model_type == "logistic":
         # An inverse penalty C on a sum of losses is 1 / (C n) on their mean.
@@ -58,7 +60,7 @@ def estimator(model_type: str, n_rows: int, n_trees: int = 200):
 
 def fit(
     train: DataFrame, model_type: str, features=None, label: str = "defaulted", select_best: int | None = None,
-    n_trees: int = 200,
+    n_trees: int | None = None,
 ) -> PipelineModel:
     """Fit preprocessing and model on labelled rows; optionally on the k best features only.
 
@@ -147,7 +149,7 @@ def evaluate(model: PipelineModel, rows: DataFrame, label: str = "defaulted") ->
 
 def cross_validate(
     data: DataFrame, folds: DataFrame, model_types, features, key: str = "company_id", label: str = "defaulted",
-    n_trees: int = 200, extra: dict[str, Column] | None = None,
+    n_trees: int | None = None, extra: dict[str, Column] | None = None,
 ) -> DataFrame:
     """(fold, role, model, n_rows, n_defaulted, metrics) for each temporal fold and model.
 

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as driver
 from creditloom.catalog import ORACLES, QUERIES
+from creditloom.operators import models
 from tests.check import compare, duck
 
 SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -15,7 +16,8 @@ def con():
 
 
 @pytest.mark.parametrize("key", list(QUERIES))
-def test_query(spark, con, key):
+def test_query(spark, con, key, monkeypatch):
+    monkeypatch.setattr(models, "TREES", 30)  # every fit of the queries, in less time
     verdict = compare(spark, con, key, SF, QUERIES, ORACLES)
     if verdict == "EMPTY but equal":
         verdict = compare(spark, duck(LARGER), key, LARGER, QUERIES, ORACLES)
