@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from creditloom.llm import decontamination as d
 from creditloom.llm.queries import QUERIES
 from tests.llm.brute import edit_distance, odd_rows
@@ -38,6 +40,54 @@ def test_no_place_within_the_budget_is_missed():
             assert found.get(k) == (want if want[0] <= finder.budgets[k] else None)
 
 
+def test_common_openings_lose_no_place():
+    """Items that share an opening get pieces elsewhere; every place within the budget is found."""
+    rng = random.Random(5)
+    opening = "read the text and answer "
+
+    def prose(n):
+        return "".join(rng.choice("abcdefg ") for _ in range(n)).strip()
+
+    for _ in range(60):
+        items = [(i, opening + prose(rng.randint(5, 60)) + "x") for i in range(7)]
+        finder = d.Finder(items, 0.06)
+        text = prose(20) + edited(rng, items[0][1], rng.randint(0, 5)) + opening + prose(9) + edited(rng, items[1][1], rng.randint(0, 5)) + prose(9)
+        found = {k: (distance, end) for k, distance, end in finder.hits(text)}
+        for k, (_, item) in enumerate(items):
+            want = edit_distance(item, text)
+            assert found.get(k) == (want if want[0] <= finder.budgets[k] else None)
+
+
+def test_common_openings_are_not_verified(monkeypatch):
+    """Hits of a common opening do not send every item to the edit distance."""
+    rng = random.Random(6)
+    opening = "please read the following passage and answer the question below "
+
+    def prose(n):
+        return "".join(rng.choice("abcdefghijklmnopqrst ") for _ in range(n))
+
+    items = [(i, d.normal(opening + prose(160))) for i in range(400)]
+    finder, calls = d.Finder(items, 0.06), []
+    monkeypatch.setattr(d, "best_end", lambda *a: calls.append(a))
+    assert list(finder.hits(d.normal((opening + prose(200)) * 5))) == [] and len(calls) < 20
+
+
+def test_rare_pieces_do_not_overlap():
+    rng = random.Random(7)
+    for _ in range(100):
+        item = "".join(rng.choice("abc") for _ in range(rng.randint(20, 200)))
+        budget = int(len(item) * 0.06)
+        found = d.rare_pieces(item, budget, np.array([rng.randint(0, 50) for _ in range(d.GRAM_BUCKETS // 64)] * 64))
+        assert len(found) == budget + 1 and all(p and item[a : a + len(p)] == p for a, p in found)
+        assert all(a + len(p) <= b for (a, p), (b, _) in zip(found, found[1:]))
+
+
+def test_short_items_between_word_ends():
+    finder = d.Finder([(0, "a cat"), (1, "7"), (2, "dog.")], 0.5, min_chars=20)
+    assert sorted(finder.hits("a category, a cat. 77 hotdog. dog.")) == [(0, 0, 17), (2, 0, 34)]
+    assert list(finder.hits("x7 7x")) == [] and list(finder.hits("(7)")) == [(1, 0, 2)]
+
+
 def test_query(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
