@@ -83,7 +83,8 @@ def _low_columns(docs: DataFrame, text: str, width: int) -> DataFrame:
 
 
 def _rows(docs: DataFrame, doc_id: str, text: str, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """(doc_id, n, fp, head, whole): size, fingerprint and head columns of each document's set.
+    """(doc_id, th, n, fp, head, whole): hash of the text, size, fingerprint and head columns of
+    each document's set.
 
     The head is there if rare columns below CUT fill it; otherwise whole has the entire set.
     """
@@ -107,7 +108,8 @@ def _rows(docs: DataFrame, doc_id: str, text: str, width: int, percent: int, fre
                 out.append((n, xxhash.xxh3_128_digest(h.tobytes()), head, whole))
             yield pd.DataFrame(out, columns=["n", "fp", "head", "whole"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), row(F.col(text)).alias("r")).select("doc_id", "r.*")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("th"), row(F.col(text)).alias("r"))
+    return rows.select("doc_id", "th", "r.*")
 
 
 def _with_heads(classes: DataFrame, percent: int, frequent: np.ndarray) -> DataFrame:
@@ -136,7 +138,7 @@ def _with_heads(classes: DataFrame, percent: int, frequent: np.ndarray) -> DataF
             out.append(np.concatenate([h[~often], h[often]])[: head_length(len(h), percent)].view(np.int64))
         return pd.Series(out)
 
-    return classes.select("id", "cid", "fp", "n", F.coalesce("head", ordered("whole")).alias("head"))
+    return classes.select("id", "cid", "th", "fp", "n", F.coalesce("head", ordered("whole")).alias("head"))
 
 
 def _fits(percent: int, a: str, b: str):
@@ -161,7 +163,9 @@ def _column_entries(classes: DataFrame, percent: int) -> DataFrame:
     columns have over LONG_COLUMN rows.
     """
     entries = classes.select("id", "n", F.posexplode("head").alias("at", "gram"))
-    met = entries.withColumn("m", F.count("*").over(Window.partitionBy("gram"))).where("m > 1")
+    # Counted map-side and joined back, so that a column with very many rows is no task's own.
+    often = entries.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1")
+    met = entries.join(often, "gram")
     leads = F.col("at") < F.col("n") - F.ceil(F.col("n") * (2 * percent) / (100 + percent)) + 1
     is_long = F.sum((F.col("m") > LONG_COLUMN).cast("int")).over(Window.partitionBy("id"))
     return cut_lineage(met.select("gram", "id", "n", "m", leads.alias("leads"), is_long.alias("long")))
@@ -269,11 +273,13 @@ def _block_links(split: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
     """(id, grams): the whole rows of the wanted ids, from one of their documents each."""
-    needed = cut_lineage(classes.select("id", "cid", "fp").join(ids, "id"))
+    needed = cut_lineage(classes.select("id", "cid", "th", "fp").join(ids, "id"))
     if needed.count() <= BROADCAST_ROWS:
         needed = F.broadcast(needed)
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    texts = texts.join(needed, F.col("doc_id").eqNullSafe(F.col("cid"))).select("id", "fp", "text")
+    # Documents without an id meet their class by the hash of their text, as all others do.
+    named = F.col("doc_id").eqNullSafe(F.col("cid")) & (F.xxhash64("text") == F.col("th"))
+    texts = texts.join(needed, named).select("id", "fp", "text")
 
     def whole(batches):
         memo = word_memo()
@@ -281,7 +287,7 @@ def _sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text
             out = []
             for i, fp, value in zip(batch["id"], batch["fp"], batch["text"], strict=True):
                 h = shingle_hashes(folded_words(value), width, memo)
-                if xxhash.xxh3_128_digest(h.tobytes()) == bytes(fp):  # another row may carry the same id
+                if xxhash.xxh3_128_digest(h.tobytes()) == bytes(fp):  # another text may have the same id and hash
                     out.append((i, h.view(np.int64)))
             yield pd.DataFrame(out, columns=["id", "grams"])
 
@@ -317,11 +323,26 @@ def ngram_components(
     alone has a null component_id.  Other columns are not looked at.  An empty table gives no
     rows.  Sets are compared by 64-bit hashes of their shingles.
     """
+    rows = _grouped(docs, doc_id, text, width, percent)
+    alone = F.col("n") == 0
+    return rows.select(
+        F.col("doc_id").alias(doc_id),
+        F.col("n").alias("n_shingles"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
+    """(doc_id, th, n, class_id, component_id, root), one row for each row of ``docs``; root
+    names the component and is null, as the ids are, for rows without words."""
     small_batches(docs)
     frequent = _frequent(_low_columns(docs, text, width))
     rows = cut_lineage(_rows(docs, doc_id, text, width, percent, frequent))
     classes = rows.where("n > 0").groupBy("fp").agg(
-        F.min("doc_id").alias("cid"), *[F.first(c).alias(c) for c in ("n", "head", "whole")]
+        F.min("doc_id").alias("cid"),
+        F.coalesce(F.min_by("th", "doc_id"), F.min("th")).alias("th"),
+        *[F.first(c).alias(c) for c in ("n", "head", "whole")],
     )
     classes = cut_lineage(classes.withColumn("id", F.monotonically_increasing_id()))
     classes = cut_lineage(_with_heads(classes, percent, frequent))
@@ -341,25 +362,31 @@ def ngram_components(
     names = classes.select("id", "cid", "fp").join(found, F.col("id") == F.col("node"), "left")
     names = names.withColumn("root", F.coalesce("component", "id"))
     smallest = names.groupBy("root").agg(F.min("cid").alias("component_id"))
-    names = names.join(smallest, "root").select("fp", F.col("cid").alias("class_id"), "component_id")
-    out = rows.select("doc_id", "n", "fp").join(names, "fp", "left")
-    alone = F.col("n") == 0
-    return out.select(
-        F.col("doc_id").alias(doc_id),
-        F.col("n").alias("n_shingles"),
-        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
+    names = names.join(smallest, "root").select("fp", F.col("cid").alias("class_id"), "component_id", "root")
+    return rows.select("doc_id", "th", "n", "fp").join(names, "fp", "left").drop("fp")
 
 
-def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the documents that have a smaller id in their component.
+def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id, ids before none,
+    then the smallest hash of the text.
 
-    Rows keep all their columns.  Rows with a null id and repeated rows stay: an id names the
-    document to keep, and these carry none or the same one.
+    Rows keep all their columns.  Rows that repeat the id and the text of a row that stays go
+    too, also where both ids are null or the texts are null or without words; which of them
+    stays is not defined.  Texts without words are linked with nothing: each id keeps one.
     """
-    groups = cut_lineage(ngram_components(docs, doc_id, text, percent=percent))
-    gone = groups.where(F.col(doc_id) != F.col("component_id")).select(F.col(doc_id).alias("_gone")).distinct()
-    kept = groups.where(F.col(doc_id) == F.col("component_id")).select(F.col(doc_id).alias("_gone"))
-    gone = cut_lineage(gone.join(kept, "_gone", "left_anti"))  # its size decides how docs are joined
-    return docs.join(gone, docs[doc_id] == gone["_gone"], "left_anti")
+    groups = cut_lineage(_grouped(docs, doc_id, text, width, percent))
+    keys = groups.groupBy("doc_id", "th").agg(F.first("n").alias("n"), F.first("root").alias("root"), F.count("*").alias("times"))
+    keys = cut_lineage(keys)
+    linked = keys.where("n > 0")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("th").alias("th"))
+    first = linked.groupBy("root").agg(F.min(order).alias("first"))
+    own = F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("th") == F.col("first.th"))
+    judged = linked.join(first, "root").select("doc_id", "th", "times", own.alias("own"))
+    judged = judged.union(keys.where("n = 0").select("doc_id", "th", "times", F.lit(True)))
+    named = F.col("doc_id").alias("_id"), F.col("th").alias("_th")
+    # Their sizes decide how docs are joined.
+    marked = cut_lineage(judged.where("NOT own OR times > 1").select(*named, "own"))
+    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text)) == F.col("_th"))
+    single = docs.join(marked, same, "left_anti")
+    repeated = docs.join(marked.where("own"), same, "left_semi").dropDuplicates([doc_id, text])
+    return single.unionByName(repeated)

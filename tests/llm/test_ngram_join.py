@@ -80,7 +80,27 @@ def test_empty_table_and_null_ids_alone(spark):
 def test_one_of_each_group_stays(spark):
     kept = ngram_join.one_of_each_group(odd_rows(spark))
     assert kept.columns == odd_rows(spark).columns
-    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 4, 7, 8, 9, 10]
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [1, 2, 3, 4, 7, 8, 9, 10]
+
+
+def test_repeats_leave_one_row(spark):
+    rows = [(1, "a b"), (1, "a b"), (1, "c d e"), (None, "x y"), (None, "x y"), (None, "z"), (2, None), (2, None), (2, ""), (None, ""), (None, ""), (3, "Z")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, th long")
+    kept = sorted(((r["doc_id"], r["text"]) for r in ngram_join.one_of_each_group(docs).collect()), key=str)
+    assert kept == sorted([(1, "a b"), (1, "c d e"), (None, "x y"), (2, None), (2, ""), (None, ""), (3, "Z")], key=str)
+    assert ngram_join.one_of_each_group(docs.limit(0)).collect() == []
+
+
+def test_many_texts_without_an_id(spark):
+    """Documents without an id are classes of their own and are linked like any other."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    texts = []
+    for _ in range(40):
+        t = [rng.choice(words) for _ in range(60)]
+        texts += [" ".join(t), " ".join([*t[:-1], "other"]), " ".join(t)]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    assert ngram_join.one_of_each_group(docs).count() == 40
 
 
 def test_ties_of_long_rows_are_exact():
