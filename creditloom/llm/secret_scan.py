@@ -40,6 +40,10 @@ ALLOWED = [
     r"[A-Za-z]+([-_/][A-Za-z]+)*[-_/]?[0-9]{1,4}",  # numbered names
 ]
 
+# Places of an array, and characters of a text, that are gone through one by one.
+BLOCK = 64
+CHUNK = 4096
+
 SPAN = "struct<start:long,rank:int,end:long,kind:string>"
 
 
@@ -47,6 +51,35 @@ def _none() -> Column:
     return F.array().cast(f"array<{SPAN}>")
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _before(values: Column, zero: Column, join) -> Column:
+    """For each place of an array the ``join`` of all values before it, ``zero`` at the first.
+
+    Blocks are joined first, then the blocks before each block, so that a place looks at no
+    more than BLOCK values and long arrays cost little more than their length.
+    """
+
+    def total(part: Column) -> Column:
+        return F.aggregate(part, zero, lambda a, x: join(a, x))
+
+    def with_blocks(v: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(v) / BLOCK).cast("int")), lambda k: total(F.slice(v, k * BLOCK + 1, F.lit(BLOCK))))
+        return _let(blocks, lambda sums: _let(F.transform(sums, lambda _, k: total(F.slice(sums, F.lit(1), k))), lambda heads: each(v, heads)))
+
+    def each(v: Column, heads: Column) -> Column:
+        def at(i):
+            k = F.floor(i / BLOCK).cast("int")
+            return join(F.get(heads, k), total(F.slice(v, k * BLOCK + 1, i - k * BLOCK)))
+
+        return F.transform(v, lambda _, i: at(i))
+
+    return _let(values, with_blocks)
+
+
 def _spans(text: Column, pattern: str, hits: Column, kind: str) -> Column:
     """Array of spans of the ``hits`` of ``pattern``, from the lengths of what stands between.
 
@@ -55,15 +88,16 @@ def _spans(text: Column, pattern: str, hits: Column, kind: str) -> Column:
     """
     gaps = F.split(text, pattern, -1)
     lengths = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.struct(F.length(g).cast("long").alias("gap"), F.length(h).cast("long").alias("own")))
-    start_state = F.struct(F.lit(0).cast("long").alias("at"), _none().alias("found"))
 
-    def step(state, item):
-        start = state["at"] + item["gap"]
-        end = start + item["own"]
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"))
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(span)).alias("found"))
+    def placed(pairs: Column) -> Column:
+        ends = _before(F.transform(pairs, lambda x: x["gap"] + x["own"]), F.lit(0).cast("long"), lambda a, x: a + x)
+        return F.zip_with(pairs, ends, span)
+
+    def span(item: Column, at: Column) -> Column:
+        start = at + item["gap"]
+        return F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), (start + item["own"]).alias("end"), F.lit(kind).alias("kind"))
 
-    return F.when(F.size(hits) > 0, F.aggregate(lengths, start_state, step, lambda s: s["found"])).otherwise(_none())
+    return F.when(F.size(hits) > 0, _let(lengths, placed)).otherwise(_none())
 
 
 def _bits(count: Column) -> Column:
@@ -117,6 +151,35 @@ def _random_windows(candidate: Column) -> Column:
     return F.when(usable, found).otherwise(F.struct(F.lit(0).alias("first"), F.lit(0).alias("last")))
 
 
+def _untouched(base: Column, candidates: Column) -> Column:
+    """Spans of the ``candidates`` (s, c), with c, that no span of ``base`` touches.
+
+    In the order of starts a candidate is touched by a base span before it that ends behind
+    its start, or by one that starts inside it; candidates do not overlap each other, so only
+    the next span can.
+    """
+    entropy = F.lit(KINDS[3])
+    own = F.transform(candidates, lambda x: F.struct(x["s"]["start"].alias("start"), x["s"]["rank"].alias("rank"), x["s"]["end"].alias("end"), x["s"]["kind"].alias("kind"), x["c"].alias("c")))
+    others = F.transform(
+        base, lambda b: F.struct(b["start"].alias("start"), b["rank"].alias("rank"), b["end"].alias("end"), b["kind"].alias("kind"), F.lit(None).cast("string").alias("c"))
+    )
+
+    def apart(spans: Column) -> Column:
+        ends = F.transform(spans, lambda x: F.when(x["kind"] == entropy, F.lit(0).cast("long")).otherwise(x["end"]))
+        return _let(_before(ends, F.lit(0).cast("long"), F.greatest), lambda reached: chosen(spans, reached))
+
+    def chosen(spans: Column, reached: Column) -> Column:
+        def free(x, i):
+            following = F.get(spans, i + 1)
+            inside = F.coalesce((following["kind"] != entropy) & (following["start"] < x["end"]), F.lit(False))
+            return (x["kind"] == entropy) & (F.get(reached, i) <= x["start"]) & ~inside
+
+        return F.filter(spans, free)
+
+    none = F.filter(own, lambda _: F.lit(False))
+    return F.when(F.size(candidates) > 0, _let(F.array_sort(F.concat(others, own)), apart)).otherwise(none)
+
+
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text, base, spans), one row for each row of ``docs``.
 
@@ -155,8 +218,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     )
     rows = rows.select("doc_id", "text", F.array_sort(base).alias("base"), candidates.alias("_candidates"))
     likely = F.filter("_candidates", lambda x: x["c"].rlike("[A-Za-z]"))
-    alone = F.filter(likely, lambda x: ~F.exists("base", lambda b: (b["start"] < x["s"]["end"]) & (x["s"]["start"] < b["end"])))
-    rows = rows.select("doc_id", "text", "base", F.transform(alone, lambda x: F.struct(x["s"].alias("s"), _random_windows(x["c"]).alias("part"))).alias("_judged"))
+    rows = rows.select("doc_id", "text", "base", _untouched(F.col("base"), likely).alias("_alone"))
+    rows = rows.select("doc_id", "text", "base", F.transform("_alone", lambda x: F.struct(x.alias("s"), _random_windows(x["c"]).alias("part"))).alias("_judged"))
     more = F.transform(
         F.filter("_judged", lambda x: x["part"]["last"] > 0),
         lambda x: F.struct(
@@ -193,17 +256,25 @@ def masked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chars: s
     """
     columns = docs.columns
     found = scan(docs.withColumn("_all", F.struct(*[F.col(f"`{c}`") for c in columns])), "_all", text)
-    state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    chunks = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
 
-    def step(state, span):
-        gap = F.substr(F.col("text"), (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int"))
-        fresh = F.concat(state["out"], gap, F.lit(mask))
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(span["start"] >= state["at"], fresh).otherwise(state["out"]).alias("out"),
-        )
+    def part(own: Column, start: Column, end: Column) -> Column:
+        """Characters from ``start`` up to, without, ``end``; looks at no other chunks of the text."""
+        first = F.floor(start / CHUNK).cast("int")
+        held = F.array_join(F.slice(own, first + 1, F.floor(end / CHUNK).cast("int") - first + 1), "")
+        return F.substr(held, (start - first * CHUNK + 1).cast("int"), (end - start).cast("int"))
+
+    def pieces(own: Column, spans: Column, reached: Column) -> Column:
+        def piece(x, i):
+            at = F.get(reached, i)
+            return F.when(x["start"] >= at, F.concat(part(own, at, x["start"]), F.lit(mask))).otherwise(F.lit(""))
+
+        end = F.greatest(F.element_at(reached, -1), F.element_at(spans, -1)["end"])
+        return F.concat(F.array_join(F.transform(spans, piece), ""), part(own, end, F.length("text").cast("long")))
 
-    clean = F.aggregate("spans", state, step, lambda s: F.concat(s["out"], F.substr(F.col("text"), (s["at"] + 1).cast("int"))))
+    ends = F.transform("spans", lambda x: x["end"])
+    reached = _before(ends, F.lit(0).cast("long"), F.greatest)
+    clean = _let(chunks, lambda own: _let(reached, lambda at: pieces(own, F.col("spans"), at)))
     found = found.withColumn("_clean", F.when(F.size("spans") > 0, clean))
     new = []
     for c in columns:

@@ -85,3 +85,46 @@ def test_odd_rows(spark):
             check(r, dict(ODD)[r["doc_id"]])
     assert s.masked(odd_rows(spark)).columns == odd_rows(spark).columns and s.masked(odd_rows(spark)).count() == 12
     assert s.digest(odd_rows(spark).limit(0)).collect() == []
+
+
+def many_hits(n):
+    """A text of ``n`` lines with base secrets, random strings, both in one, and plain words."""
+    rng = random.Random(n)
+    lines = []
+    for i in range(n):
+        own = "".join(rng.choice(s.CLASS[:62]) for _ in range(rng.randint(21, 40)))
+        lines.append([f"password = {own}", f"é {own}7", f"AKIA{own[:20].upper()}Z9", f"Zq9{own}/{'0af3' * 7}", "plain words", f"token:{own[:7]}"][i % 6])
+    return "\n".join(lines)
+
+
+def test_many_hits_in_one_text(spark):
+    """Places, touches and masks of a text with more hits than a block, against plain loops."""
+    text = many_hits(700)
+    docs = spark.createDataFrame([(1, text, len(text))], "doc_id long, text string, n_chars long")
+    row = s.digest(docs).first()
+    check(row, text)
+    spans = sorted((int(a), int(b), k) for k, a, b in (x.split(":") for x in row["spans"].split(",")))
+    base = [(a, b) for k, a, b in secret_base(text)]
+    assert row["n_entropy"] > 100
+    assert not any(a < d and c < b for a, b, k in spans if k == "entropy" for c, d in base)
+    out, at = "", 0
+    for a, b, _ in spans:
+        if a >= at:
+            out += text[at:a] + "[SECRET]"
+        at = max(at, b)
+    clean = s.masked(docs).first()
+    assert clean["text"] == out + text[at:] and clean["n_chars"] == len(clean["text"])
+
+
+def test_untouched_against_all_pairs(spark):
+    rng = random.Random(9)
+    rows = []
+    for _ in range(60):
+        base = sorted((a, rng.randrange(3), a + rng.randint(1, 30)) for a in (rng.randrange(2000) for _ in range(rng.randint(0, 90))))
+        cuts = sorted(rng.sample(range(2000), 2 * rng.randint(0, 80)))
+        rows.append((base, list(zip(cuts[::2], cuts[1::2], strict=True))))
+    data = [([(a, k, b, s.KINDS[k]) for a, k, b in base], [((a, 3, b, "entropy"), "x") for a, b in own]) for base, own in rows]
+    frame = spark.createDataFrame(data, f"base array<{s.SPAN}>, own array<struct<s:{s.SPAN},c:string>>")
+    got = frame.select(s._untouched(F.col("base"), F.col("own")).alias("u")).collect()
+    for (base, own), r in zip(rows, got, strict=True):
+        assert [(x["start"], x["end"]) for x in r["u"]] == [(a, b) for a, b in own if not any(c < b and a < d for c, _, d in base)]
