@@ -245,7 +245,7 @@ def classify(found: DataFrame) -> dict[tuple[str, str, str], float]:
     soft = reliabilities(kinds, signs, counts)
     own = (kinds[:, None] == np.array(KINDS)).astype(float)
     bits = np.array([[float(b) for b in r[2]] for r in rows])
-    fitted = logistic(np.hstack([own, bits, signs]), soft, counts / counts.sum() * min(counts.sum(), 1e6))
+    fitted = logistic(np.hstack([own, bits, signs]), soft, counts)
     return {r[:3]: float(p) for r, p in zip(rows, fitted, strict=True)}
 
 
