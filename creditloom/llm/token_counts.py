@@ -182,7 +182,7 @@ class Counted:
 
 
 # Edits of the registered query: what masking and tidying would change in a text.
-EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LONG_NUMBER = re.compile(r"(?<![0-9A-Za-z])[0-9]{9,}(?![0-9A-Za-z])")
 
 
