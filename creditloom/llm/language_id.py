@@ -222,7 +222,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Count trigrams and scripts of all rows with a text and a language.
 
     Tasks count into fixed arrays and send one row for each language, kind and bucket that
-    occurs; what reaches the driver is bounded by the number of languages.
+    occurs; the driver gets two packed arrays for each language, bounded by their number.
     """
 
     def count(batches):
@@ -245,15 +245,17 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     small_batches(docs)
     known = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     counts = known.mapInPandas(count, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
-    counts = counts.groupBy("lang").agg(F.collect_list(F.struct("slot", "n")).alias("counts"))
-    rows = sorted(counts.limit(MOST_LANGUAGES + 1).collect(), key=lambda r: r["lang"])
-    if len(rows) > MOST_LANGUAGES:
+    packed = counts.groupBy("lang").agg(F.collect_list(F.struct("slot", "n")).alias("c")).select("lang", F.col("c.slot").alias("slot"), F.col("c.n").alias("n"))
+    rows = packed.limit(MOST_LANGUAGES + 1).toArrow()
+    if rows.num_rows > MOST_LANGUAGES:
         raise ValueError(f"over {MOST_LANGUAGES} languages")
-    table = np.zeros((len(rows), BUCKETS + len(SCRIPTS)))
-    for i, r in enumerate(rows):
-        slots = np.array(r["counts"], dtype=np.int64).reshape(-1, 2)
-        table[i, slots[:, 0]] = slots[:, 1]
-    return Model([r["lang"] for r in rows], table[:, :BUCKETS], table[:, BUCKETS:])
+    names = rows["lang"].to_pylist()
+    order = sorted(range(len(names)), key=names.__getitem__)
+    table = np.zeros((len(names), BUCKETS + len(SCRIPTS)))
+    for i, k in enumerate(order):
+        table[i, rows["slot"][k].values.to_numpy()] = rows["n"][k].values.to_numpy()
+    names.sort()
+    return Model(names, table[:, :BUCKETS], table[:, BUCKETS:])
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> Column:
