@@ -104,3 +104,19 @@ def test_quiet_gaps_open_and_close(spark, tmp_path):
     # 40 of company 1 ends its gap; 27 of company 2 is late but in time, 2 of company 3 is too late.
     assert found([at(40), at(27, 2), at(2, 3), at(41, 2), (0, None, 1, "x", 1.0, None)]) == {(1, 12.5, None), (3, 1, None)}
     assert found([at(60, 2)]) == {(1, 12.5, 40), (1, 40, None), (2, 30, 41), (2, 41, None), (3, 1, None)}
+
+
+def test_quiet_gaps_end_inside_a_span(spark, tmp_path):
+    """A gap gets its end as soon as the watermark has passed it, also if later events of the span still wait."""
+    half_day = 43_200_000
+
+    def found(rows):
+        rows = [(0, START + dt.timedelta(hours=h), user, "x", 1.0, None) for h, user in rows]
+        spark.createDataFrame(rows, DDL).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = feeds.event_stream(spark, f"{tmp_path}/in", pattern="*.parquet")
+        got = feeds.quiet_gaps(stream, f"{tmp_path}/work", half_day, "5 hours").collect()
+        return {(r["user_id"], r["end_us"] and (r["end_us"] - r["start_us"]) / 3.6e9) for r in got}
+
+    assert START.hour == 0
+    assert found([(0, 1), (17.5, 2)]) == {(1, None)}
+    assert found([(13, 1), (20, 1), (21, 2)]) == {(1, 13)}
