@@ -384,8 +384,10 @@ def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     judged = linked.join(first, "root").select("doc_id", "th", "times", own.alias("own"))
     judged = judged.union(keys.where("n = 0").select("doc_id", "th", "times", F.lit(True)))
     named = F.col("doc_id").alias("_id"), F.col("th").alias("_th")
-    # Their sizes decide how docs are joined.
     marked = cut_lineage(judged.where("NOT own OR times > 1").select(*named, "own"))
+    # A few rows of numbers go to all tasks; otherwise the texts of docs are exchanged.
+    if marked.count() <= BROADCAST_ROWS:
+        marked = F.broadcast(marked)
     same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text)) == F.col("_th"))
     single = docs.join(marked, same, "left_anti")
     repeated = docs.join(marked.where("own"), same, "left_semi").dropDuplicates([doc_id, text])

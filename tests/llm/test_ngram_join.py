@@ -110,3 +110,16 @@ def test_ties_of_long_rows_are_exact():
     assert 100 * shared == 85 * (len(a) + len(b) - shared)
     block = pd.DataFrame({"id": [1, 2], "own": [1, 2], "part": [0, 0], "grams": [a, b]})
     assert ngram_join._products(85)(("g", 0, 0), block).values.tolist() == [[1, 2]]
+
+
+def test_few_marked_rows_do_not_move_the_texts(spark):
+    """Rows to drop that are few go to the tasks of the texts, whatever the session's own limit."""
+    rows = [(i, f"a b c d e f g h {i % 3}") for i in range(9)]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = ngram_join.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
