@@ -17,3 +17,19 @@ def test_marks_are_spread_by_their_number(spark):
     sizes = [r["count"] for r in line.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 10 + 1_000_000
     assert max(sizes) < 2 * session.ROWS_PER_PART
+
+
+def test_column_quantiles_exchange_few_values(spark):
+    """Exact on long, short, tied, empty and constant columns; the old form exchanged every value."""
+    import numpy as np
+
+    from creditloom.plans.ranks import column_quantiles
+
+    x = np.random.default_rng(1).lognormal(0, 3, 40_000)
+    rows = [(float(v), float(round(v)), float(v) if i < 3 else None, None, 7.0) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "a DOUBLE, tied DOUBLE, short DOUBLE, none DOUBLE, flat DOUBLE")
+    got = column_quantiles(df, df.columns, [0.0, 0.25, 0.5, 0.75, 1.0])
+    assert set(got) == {"a", "tied", "short", "flat"}
+    for c, i in (("a", 0), ("tied", 1), ("short", 2), ("flat", 4)):
+        want = np.quantile([r[i] for r in rows if r[i] is not None], [0.0, 0.25, 0.5, 0.75, 1.0])
+        assert np.allclose(got[c], want, rtol=1e-12)
