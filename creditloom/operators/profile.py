@@ -160,8 +160,9 @@ def class_medians(profiles: DataFrame, columns, by: str = "defaulted") -> DataFr
 
 
 def validation_checks(transactions: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Six plausibility checks as (check_name, passed) rows."""
+    """Six plausibility checks as (check_name, passed) rows.  The profiles are made once."""
     compared = ["cv_txn", "top_5_concentration", "active_days_ratio"]
+    profiles = cut_lineage(profiles.select("defaulted", *compared))
     medians = class_medians(profiles, compared)
     overall = exact_quantiles(profiles.select("top_5_concentration"), "top_5_concentration", [0.5], name="q")
     pick = lambda label, feature: F.max(
