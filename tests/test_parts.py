@@ -33,3 +33,21 @@ def test_column_quantiles_exchange_few_values(spark):
     for c, i in (("a", 0), ("tied", 1), ("short", 2), ("flat", 4)):
         want = np.quantile([r[i] for r in rows if r[i] is not None], [0.0, 0.25, 0.5, 0.75, 1.0])
         assert np.allclose(got[c], want, rtol=1e-12)
+
+
+def test_validation_makes_the_profiles_once(spark):
+    from creditloom.operators import profile
+
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(v):
+        made.add(1)
+        return v
+
+    rows = [(i % 2, float(i), float(i), 0.5) for i in range(40)]
+    profiles = spark.createDataFrame(rows, "defaulted INT, cv_txn DOUBLE, top_5_concentration DOUBLE, active_days_ratio DOUBLE")
+    profiles = profiles.withColumn("top_5_concentration", F.udf(seen, "double")("top_5_concentration"))
+    amounts = spark.createDataFrame([(1.0,), (1.0,), (9.0,)], "amount DOUBLE")
+    assert profile.validation_checks(amounts, profiles).count() == 6
+    assert profile.validation_checks(amounts, profiles).where("passed").count() == 5
+    assert made.value == 2 * len(rows)
