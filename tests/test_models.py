@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from creditloom.catalog import model_queries
+from creditloom.catalog import model_queries, registry
 from creditloom.operators import metrics, models
 
 FEATURES = ["supplier_hhi", "total_inflow"]
@@ -75,3 +75,27 @@ def test_broken_scores_are_an_error(spark, data):
     for p in (F.lit(0.5), F.lit(None).cast("double"), F.lit(1.5), 1 - F.col("p")):
         with pytest.raises(ValueError):
             model_queries.sound(good.withColumn("p", p))
+
+
+def test_refit_is_held_to_the_rows_of_its_own_fit(spark, monkeypatch):
+    """A fit on all rows may rank some of them badly; a fit on the training rows has to rank these."""
+    rows = [(i, i % 2, "train" if i < 40 else "test") for i in range(100)]
+    rows = spark.createDataFrame(rows, "company_id INT, defaulted INT, role STRING")
+    parts = rows, rows.where("role = 'train'"), rows.where("role = 'test'")
+    y, trained = F.col("defaulted"), F.col("role") == "train"
+
+    def refit(good):
+        """Fits named in ``good`` rank all rows, others all but the training rows."""
+        def scores(fitted, rows, *keep):
+            (m, on), = fitted.items()
+            p = 0.4 + 0.2 * y if on in good else F.when(trained, 0.6 - 0.2 * y).otherwise(0.3 + 0.4 * y)
+            return rows.select(*keep, p.alias("p"), F.lit(m).alias("model"))
+
+        monkeypatch.setattr(model_queries, "_split", lambda spark, sf: parts)
+        monkeypatch.setattr(models, "fit_side_by_side", lambda wanted: {k: k[1] for k in wanted})
+        monkeypatch.setattr(model_queries, "_scores", scores)
+        return registry.QUERIES["ml_refit_all"](spark, "").count()
+
+    assert refit({"train"}) == 8
+    with pytest.raises(ValueError):
+        refit({"all"})
