@@ -23,9 +23,11 @@ def decided_companies(spark, sf):
     importances of the boosted model.
     """
     mapping = cut_lineage(resolved(spark, sf))
-    rows = cut_lineage(prep.stratified_split(training(spark, sf, mapping), "defaulted", KEY))
+    rows = cut_lineage(training(spark, sf, mapping))
+    rows = cut_lineage(prep.stratified_split(rows, "defaulted", KEY))
     train = rows.where("role = 'train'")
-    boosted, logistic = (models.fit(train, m, FEATURES) for m in ("boosted", "logistic"))
+    fitted = models.fit_side_by_side({m: (train, m, FEATURES) for m in ("boosted", "logistic")})
+    boosted, logistic = fitted["boosted"], fitted["logistic"]
     primary = cut_lineage(models.score(boosted, rows, [KEY, "supplier_hhi"]))
     shadow = models.score(logistic, rows, [KEY])
     review = decisions.shadow_review(primary, shadow, KEY).select(KEY, "p_shadow", "needs_review")

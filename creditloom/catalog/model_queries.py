@@ -163,7 +163,7 @@ query(
 # Every query fits what it shows.  What SQL cannot know, scores, metrics and importances, is
 # returned as numbers; a fit that does not hold what every fit must hold is an error.
 def _split(spark, sf):
-    rows = cut_lineage(prep.stratified_split(training(spark, sf), "defaulted", KEY))
+    rows = cut_lineage(prep.stratified_split(ready(spark, sf), "defaulted", KEY))
     return rows, rows.where("role = 'train'"), rows.where("role = 'test'")
 
 

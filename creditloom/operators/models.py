@@ -28,21 +28,28 @@ SIDE_BY_SIDE = 8
 TREES = 200
 
 
-def preprocessing_stages(train: DataFrame, features) -> list:
-    """Imputation and scaling with fitted numbers, then assembly: robust block first."""
+def fitted_numbers(train: DataFrame, features) -> dict[str, tuple[float, float, float]]:
+    """Median, centre and scale of each feature in the order of assembly: robust block first."""
     robust, standard = prep.feature_groups(features)
     fitted = prep.fitted_rows(prep.fit_scaling(train, robust + standard))
-    columns = [
-        f"(coalesce(CAST({f} AS DOUBLE), {m!r}D) - {c!r}D) / {s!r}D AS scaled_{f}"
-        for f, (m, c, s) in ((f, fitted[f]) for f in robust + standard)
-    ]
+    return {f: fitted[f] for f in robust + standard}
+
+
+def stages_of(fitted: dict[str, tuple[float, float, float]]) -> list:
+    """Imputation and scaling with ``fitted_numbers``, then assembly."""
+    columns = [f"(coalesce(CAST({f} AS DOUBLE), {m!r}D) - {c!r}D) / {s!r}D AS scaled_{f}" for f, (m, c, s) in fitted.items()]
     statement = "SELECT *, " + ", ".join(columns) + " FROM __THIS__"
     return [
         SQLTransformer(statement=statement),
-        VectorAssembler(inputCols=[f"scaled_{f}" for f in robust + standard], outputCol=VECTOR),
+        VectorAssembler(inputCols=[f"scaled_{f}" for f in fitted], outputCol=VECTOR),
     ]
 
 
+def preprocessing_stages(train: DataFrame, features) -> list:
+    """Imputation and scaling with fitted numbers, then assembly: robust block first."""
+    return stages_of(fitted_numbers(train, features))
+
+
 def estimator(model_type: str, n_rows: int, n_trees: int | None = None):
     """'boosted' or 'logistic'; anything else is an error."""
     if model_type == "boosted":
@@ -58,39 +65,53 @@ def estimator(model_type: str, n_rows: int, n_trees: int | None = None):
     raise ValueError(f"unknown model type: {model_type}")
 
 
-def fit(
-    train: DataFrame, model_type: str, features=None, label: str = "defaulted", select_best: int | None = None,
-    n_trees: int | None = None,
-) -> PipelineModel:
-    """Fit preprocessing and model on labelled rows; optionally on the k best features only.
-
-    Features without a value among those rows are left out.
-    """
+def prepared(train: DataFrame, features=None, label: str = "defaulted", select_best: int | None = None) -> tuple[dict, DataFrame, int]:
+    """The fitted numbers, the weighted rows and their number: what fits of any model on ``train`` share."""
     ensure_checkpoint_dir(train.sparkSession)
     train = train.where(F.col(label).isNotNull())
     usable = set(prep.available_features(train))
     features = [f for f in features or prep.NUMERIC_FEATURES if f in usable]
     if select_best:
         features = prep.select_k_best(train, features, min(select_best, len(features)), label)
-    stages = preprocessing_stages(train, features)
+    fitted = fitted_numbers(train, features)
     n_rows = train.count()
     data = prep.with_class_weight(train, label).withColumn("label", F.col(label).cast("double"))
-    data = data.coalesce(max(1, math.ceil(n_rows / ROWS_PER_TASK)))
-    return Pipeline(stages=[*stages, estimator(model_type, n_rows, n_trees)]).fit(data)
+    return fitted, data.coalesce(max(1, math.ceil(n_rows / ROWS_PER_TASK))), n_rows
+
+
+def fit_prepared(rows: tuple[dict, DataFrame, int], model_type: str, n_trees: int | None = None) -> PipelineModel:
+    """Fit a model on what ``prepared`` returned."""
+    fitted, data, n_rows = rows
+    return Pipeline(stages=[*stages_of(fitted), estimator(model_type, n_rows, n_trees)]).fit(data)
+
+
+def fit(
+    train: DataFrame, model_type: str, features=None, label: str = "defaulted", select_best: int | None = None,
+    n_trees: int | None = None,
+) -> PipelineModel:
+    """Fit preprocessing and model on labelled rows; optionally on the k best features only.
 
+    Features without a value among those rows are left out.
+    """
+    return fit_prepared(prepared(train, features, label, select_best), model_type, n_trees)
 
-def fit_side_by_side(wanted: dict, **options) -> dict:
-    """``{name: (train, model_type, features)}`` to ``{name: model}``; a bounded number at a time."""
 
-    def one(name):
-        train, model_type, features = wanted[name]
-        return fit(train, model_type, features, **options)
+def fit_side_by_side(
+    wanted: dict, label: str = "defaulted", select_best: int | None = None, n_trees: int | None = None
+) -> dict:
+    """``{name: (train, model_type, features)}`` to ``{name: model}``; a bounded number at a time.
 
+    Models of one ``train`` and the same features share the preparation of its rows.
+    """
     if not wanted:
         return {}
+    shared = {name: (id(train), tuple(features or ())) for name, (train, _, features) in wanted.items()}
+    sources = {shared[name]: (train, features) for name, (train, _, features) in wanted.items()}
     side = inheritable_thread_target(next(iter(wanted.values()))[0].sparkSession)
     with ThreadPoolExecutor(max_workers=min(SIDE_BY_SIDE, len(wanted))) as pool:
-        started = {name: pool.submit(side(one), name) for name in wanted}
+        started = {k: pool.submit(side(prepared), train, features, label, select_best) for k, (train, features) in sources.items()}
+        rows = {k: run.result() for k, run in started.items()}
+        started = {name: pool.submit(side(fit_prepared), rows[shared[name]], m, n_trees) for name, (_, m, _) in wanted.items()}
         return {name: run.result() for name, run in started.items()}
 
 
@@ -161,8 +182,8 @@ def cross_validate(
     rows = cut_lineage(data.join(folds.select(key, "fold", "role"), key))
     classes = rows.where("role = 'train'").groupBy("fold").agg(F.countDistinct(label).alias("n"))
     numbers = sorted(r["fold"] for r in classes.where("n > 1").collect())
-    train = lambda i: rows.where((F.col("fold") == i) & (F.col("role") == "train"))
-    fitted = fit_side_by_side({(i, m): (train(i), m, features) for i in numbers for m in model_types}, label=label, n_trees=n_trees)
+    trains = {i: rows.where((F.col("fold") == i) & (F.col("role") == "train")) for i in numbers}
+    fitted = fit_side_by_side({(i, m): (train, m, features) for i, train in trains.items() for m in model_types}, label=label, n_trees=n_trees)
     keep = ["fold", "role", F.col(label).alias("y")]
     scored = [
         score(model, rows.where(F.col("fold") == i), keep).withColumn("model", F.lit(m)) for (i, m), model in fitted.items()

@@ -77,6 +77,34 @@ def test_broken_scores_are_an_error(spark, data):
             model_queries.sound(good.withColumn("p", p))
 
 
+def test_models_of_the_same_rows_share_their_preparation(spark, data, monkeypatch):
+    """Both fits of a table, and both fits of a fold, use one set of fitted numbers; models stay those of single fits."""
+    made = []
+    scaling = models.prep.fit_scaling
+    monkeypatch.setattr(models.prep, "fit_scaling", lambda df, features: made.append(1) or scaling(df, features))
+    fitted = models.fit_side_by_side({m: (data, m, FEATURES) for m in ("boosted", "logistic")}, n_trees=3)
+    assert len(made) == 1
+    other = models.fit_side_by_side({"one": (data, "logistic", FEATURES), "less": (data, "logistic", FEATURES[:1])})
+    assert len(made) == 3 and [len(models.assembled_names(other[k])) for k in ("one", "less")] == [2, 1]
+    for kind in ("boosted", "logistic"):
+        alone = models.score(models.fit(data, kind, FEATURES, n_trees=3), data, ["company_id"]).orderBy("company_id").collect()
+        beside = models.score(fitted[kind], data, ["company_id"]).orderBy("company_id").collect()
+        assert [r["p"] for r in beside] == pytest.approx([r["p"] for r in alone], abs=1e-9)
+
+
+def test_split_makes_the_training_table_once(spark, data, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(v):
+        made.add(1)
+        return v
+
+    counted = data.withColumn("supplier_hhi", F.udf(seen, "double")("supplier_hhi"))
+    monkeypatch.setattr(model_queries, "training", lambda spark, sf: counted)
+    rows, train, test = model_queries._split(spark, "")
+    assert train.count() + test.count() == rows.count() == 240 and made.value == 240
+
+
 def test_refit_is_held_to_the_rows_of_its_own_fit(spark, monkeypatch):
     """A fit on all rows may rank some of them badly; a fit on the training rows has to rank these."""
     rows = [(i, i % 2, "train" if i < 40 else "test") for i in range(100)]
