@@ -51,3 +51,22 @@ def test_validation_makes_the_profiles_once(spark):
     assert profile.validation_checks(amounts, profiles).count() == 6
     assert profile.validation_checks(amounts, profiles).where("passed").count() == 5
     assert made.value == 2 * len(rows)
+
+
+def test_daily_rows_of_the_vector_are_dealt_in_bounded_parts(spark, monkeypatch):
+    """The day windows of the training table get as many parts as its transactions need."""
+    from creditloom.operators import txn_features as txn
+
+    parts = []
+
+    def dealt(df, n_rows, *keys):
+        parts.append((n_rows, session.dealt(df, n_rows, *keys)))
+        return parts[-1][1]
+
+    monkeypatch.setattr(session, "ROWS_PER_PART", 50)
+    monkeypatch.setattr(txn, "dealt", dealt)
+    rows = [(i % 30, dt.date(2024, 1, 1 + i % 28), float(i - 150), "A") for i in range(300)]
+    rows = spark.createDataFrame(rows, "company_id LONG, transaction_date DATE, amount DOUBLE, merchant_name STRING")
+    rows = rows.withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    assert txn.stability_vector(rows, "2024-06-30").count() == 30
+    assert [n for n, _ in parts] == [300] and parts[0][1].rdd.getNumPartitions() == 6
