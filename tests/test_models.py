@@ -99,7 +99,7 @@ def test_split_makes_the_training_table_once(spark, data, monkeypatch):
         made.add(1)
         return v
 
-    counted = data.withColumn("supplier_hhi", F.udf(seen, "double")("supplier_hhi"))
+    counted = data.withColumn("defaulted", F.udf(seen, "int")("defaulted"))
     monkeypatch.setattr(model_queries, "training", lambda spark, sf: counted)
     rows, train, test = model_queries._split(spark, "")
     assert train.count() + test.count() == rows.count() == 240 and made.value == 240
