@@ -70,3 +70,26 @@ def test_daily_rows_of_the_vector_are_dealt_in_bounded_parts(spark, monkeypatch)
     rows = rows.withColumn("amount", F.col("amount").cast("decimal(18,2)"))
     assert txn.stability_vector(rows, "2024-06-30").count() == 30
     assert [n for n, _ in parts] == [300] and parts[0][1].rdd.getNumPartitions() == 6
+
+
+def test_families_of_the_vector_are_dealt_before_they_are_summed(spark, monkeypatch):
+    """Days, payees and the median are exchanged in parts of a bounded number of rows, with the same results."""
+    from creditloom.operators import txn_features as txn
+
+    monkeypatch.setattr(session, "ROWS_PER_PART", 50)
+    written = []
+    monkeypatch.setattr(txn, "cut_lineage", lambda df: written.append((df.columns, df.rdd.getNumPartitions())) or session.cut_lineage(df))
+    day, names = dt.date(2024, 1, 1), ["A", "B", None]
+    rows = [(i % 30 or None, day + dt.timedelta(days=i % 90), None if i % 17 == 0 else float(i - 150), names[i % 3]) for i in range(300)]
+    rows = spark.createDataFrame([*rows, *rows[:60]], "company_id LONG, transaction_date DATE, amount DOUBLE, merchant_name STRING")
+    rows = rows.withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    mapping = spark.createDataFrame([("A", "X"), ("B", "X")], "raw STRING, canonical STRING")
+    assert txn.stability_vector(rows, "2024-06-30", mapping=mapping).count() == 29
+    assert [n for c, n in written if "canonical" in c and "inflow" in c] == [8]
+    as_text = lambda df: sorted(str([round(v, 6) if isinstance(v, float) else v for v in r]) for r in df.collect())
+    for make in (txn.daily_flows, lambda *a, **k: txn.payee_flows(*a, mapping, **k), txn.median_amount):
+        assert as_text(make(rows, "2024-06-30", n_rows=360)) == as_text(make(rows, "2024-06-30"))
+    plan = txn.median_amount(rows, "2024-06-30", 360)
+    plan.collect()
+    assert "ReusedExchange" in plan._jdf.queryExecution().executedPlan().toString()
+    assert txn.daily_flows(rows, "2024-06-30", 360).rdd.getNumPartitions() == 8
