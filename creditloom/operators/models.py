@@ -65,6 +65,18 @@ def estimator(model_type: str, n_rows: int, n_trees: int | None = None):
     raise ValueError(f"unknown model type: {model_type}")
 
 
+def in_even_waves(data: DataFrame, n_rows: int) -> DataFrame:
+    """The rows of a fit in few tasks, or in equal tasks that fill every slot the same number of times.
+
+    A fit is a thousand short jobs, each of which waits for its last task: one part more than
+    there are slots, as the files of a table may give, doubles them all.
+    """
+    parts, slots = max(1, math.ceil(n_rows / ROWS_PER_TASK)), data.sparkSession.sparkContext.defaultParallelism
+    if parts <= slots:
+        return data.coalesce(parts)
+    return data.repartition(slots * math.ceil(parts / slots))
+
+
 def prepared(train: DataFrame, features=None, label: str = "defaulted", select_best: int | None = None) -> tuple[dict, DataFrame, int]:
     """The fitted numbers, the weighted rows and their number: what fits of any model on ``train`` share."""
     ensure_checkpoint_dir(train.sparkSession)
@@ -76,7 +88,7 @@ def prepared(train: DataFrame, features=None, label: str = "defaulted", select_b
     fitted = fitted_numbers(train, features)
     n_rows = train.count()
     data = prep.with_class_weight(train, label).withColumn("label", F.col(label).cast("double"))
-    return fitted, data.coalesce(max(1, math.ceil(n_rows / ROWS_PER_TASK))), n_rows
+    return fitted, in_even_waves(data, n_rows), n_rows
 
 
 def fit_prepared(rows: tuple[dict, DataFrame, int], model_type: str, n_trees: int | None = None) -> PipelineModel:

@@ -93,3 +93,17 @@ def test_families_of_the_vector_are_dealt_before_they_are_summed(spark, monkeypa
     plan.collect()
     assert "ReusedExchange" in plan._jdf.queryExecution().executedPlan().toString()
     assert txn.daily_flows(rows, "2024-06-30", 360).rdd.getNumPartitions() == 8
+
+
+def test_rows_of_a_fit_fill_every_slot_alike(spark, monkeypatch):
+    """Nine parts on eight slots would make every job of a fit wait for one task; few rows stay in few parts."""
+    from creditloom.operators import models
+
+    cells = [(F.col("id") % n).cast("double").alias(f) for f, n in (("supplier_hhi", 7), ("total_inflow", 11))]
+    train = spark.range(0, 900, 1, 9).select(*cells, (F.col("id") % 2).cast("int").alias("defaulted"))
+    parts = lambda: [r["count"] for r in models.prepared(train, ["supplier_hhi", "total_inflow"])[1].groupBy(F.spark_partition_id()).count().collect()]
+    assert parts() == [900]
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 50)
+    slots = spark.sparkContext.defaultParallelism
+    assert sum(parts()) == 900 and len(parts()) == slots * -(-18 // slots)
+    assert max(parts()) - min(parts()) <= 9
