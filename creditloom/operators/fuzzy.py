@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions.similarity import (
+    bound,
     character_bag,
     characters,
     lcs_length,
@@ -39,9 +40,13 @@ SLACK = 1e-9
 
 def token_sort_ratio(a: Column, b: Column) -> Column:
     """Similarity 0..100 of two names after sorting their tokens."""
-    left, right = token_sorted(a), token_sorted(b)
-    lcs = lcs_length(characters(left), position_masks(right), F.length(right))
-    return ratio_from_lcs(lcs, F.length(left), F.length(right))
+
+    def ratio(texts: Column) -> Column:
+        left, right = texts["left"], texts["right"]
+        lcs = lcs_length(characters(left), position_masks(right), F.length(right))
+        return ratio_from_lcs(lcs, F.length(left), F.length(right))
+
+    return bound(F.struct(token_sorted(a).alias("left"), token_sorted(b).alias("right")), ratio)
 
 
 def gram_length(cutoff: float) -> int:
